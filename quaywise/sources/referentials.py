@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quaywise import schemas
 
@@ -93,5 +94,5 @@ def typed_stations(rows: DataFrame) -> DataFrame:
     plain = rows.withColumn("geom", point(4326, "x_wgs84", "y_wgs84")).withColumn(
         "geom_l93", point(2154, "x_l93", "y_l93")
     )
-    schema = rows.sparkSession.createDataFrame([], schemas.STATIONS).schema
+    schema = StructType.fromDDL(schemas.STATIONS)
     return plain.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from quaywise import schemas
 from quaywise.session import scratch_path
@@ -37,7 +38,7 @@ class Tables:
 
     def _shaped(self, name: str, rows: DataFrame) -> DataFrame:
         columns, partitions = schemas.TABLES[name]
-        wanted = self.spark.createDataFrame([], columns).schema
+        wanted = StructType.fromDDL(columns)
         rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in wanted])
         # files of the advisory size: AQE splits a day that holds most of the
         # rows over several tasks and joins small days
