@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quaywise.functions import times
-
 # Public holidays of France as (name, month, day) and as
 # (name, days after Easter Sunday).
 FIXED_HOLIDAYS = (
@@ -36,7 +34,7 @@ def date_attributes(d: Column) -> dict[str, Column]:
     iso_week_text = F.lpad(iso_week.cast("string"), 2, "0")
     quarter_start = (quarter - 1) * 3 + 1
     return {
-        "tk_date": times.date_key(d),
+        "tk_date": year * 10000 + month * 100 + F.dayofmonth(d),
         "date": d,
         "date_first_day_of_week": F.date_sub(d, weekday - 1),
         "date_last_day_of_week": F.date_add(d, 7 - weekday),

@@ -158,8 +158,9 @@ def _written_text(spark: SparkSession, rows: DataFrame, name: str) -> str:
 
 def _journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = warehouse(spark, sf_dir)
-    feed = sample.journey_xml(tables["dsa/trips"], tables["dsa/stops"])
-    return siri.read_journeys(spark, _written_text(spark, feed, "xml"))
+    path = scratch_path(spark, "xml")
+    sample.write_journeys(sample.journeys(tables["dsa/trips"], tables["dsa/stops"]), path)
+    return siri.read_journeys(spark, path)
 
 
 def _xml_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +238,8 @@ def _stream(spark: SparkSession, sf_dir: str, sink, feeds: list[DataFrame]) -> s
     checkpoint = scratch_path(spark, "checkpoint")
     for feed in feeds:
         feed.select("value").write.mode("append").text(landing)
-        streams.drain(streams.file_messages(spark, landing), sink(root), checkpoint)
+        stream = streams.parsed_stream(streams.file_messages(spark, landing))
+        streams.drain(stream, sink(root), checkpoint)
     return root
 
 

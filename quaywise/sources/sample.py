@@ -237,54 +237,54 @@ def name_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _element(tag: str, value: Column) -> Column:
-    """``<tag>value</tag>``, nothing for an empty or missing value."""
-    text = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    filled = F.when(value != "", F.concat(F.lit(f"<{tag}>"), text, F.lit(f"</{tag}>")))
-    return F.coalesce(filled, F.lit(""))
-
-
-def journey_xml(trips: DataFrame, stops: DataFrame, max_stops: int = MAX_STOPS) -> DataFrame:
-    """Staged rows as feed text: one ``value`` of XML for each journey."""
-    call = F.concat(
-        F.lit("<RecordedCall>"),
-        _element("StopPointName", F.col("stop_name")),
-        _element("AimedArrivalTime", F.col("aimed_arrival")),
-        _element("ExpectedArrivalTime", F.col("expected_arrival")),
-        _element("AimedDepartureTime", F.col("aimed_departure")),
-        _element("ExpectedDepartureTime", F.col("expected_departure")),
-        _element("DeparturePlatformName", F.col("departure_platform_name")),
-        _element("ArrivalPlatformName", F.col("arrival_platform_name")),
-        F.lit("</RecordedCall>"),
+def journeys(trips: DataFrame, stops: DataFrame, max_stops: int = MAX_STOPS) -> DataFrame:
+    """Staged rows in the shape of the feed: one row for each journey element."""
+
+    def filled(name: str) -> Column:
+        return F.nullif(F.col(name), F.lit(""))
+
+    call = F.struct(
+        "call_index",
+        F.struct(
+            filled("stop_name").alias("StopPointName"),
+            filled("aimed_arrival").alias("AimedArrivalTime"),
+            filled("expected_arrival").alias("ExpectedArrivalTime"),
+            filled("aimed_departure").alias("AimedDepartureTime"),
+            filled("expected_departure").alias("ExpectedDepartureTime"),
+            filled("departure_platform_name").alias("DeparturePlatformName"),
+            filled("arrival_platform_name").alias("ArrivalPlatformName"),
+        ).alias("call"),
     )
     calls = (
         parted_stops(stops, max_stops)
         .groupBy("trip_id", "part")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("call_index", call.alias("xml")))).alias("calls")
-        )
+        .agg(F.array_sort(F.collect_list(call)).alias("calls"))
     )
     return trips.join(calls, "trip_id", "left").select(
-        F.concat(
-            F.lit(f"<{ROW_TAG}><FramedVehicleJourneyRef>"),
-            _element("DatedVehicleJourneyRef", F.col("trip_id")),
-            F.lit("</FramedVehicleJourneyRef><TrainNumbers>"),
-            _element("TrainNumberRef", F.col("train")),
-            F.lit("</TrainNumbers>"),
-            _element("OriginName", F.col("origin_name")),
-            _element("OriginAimedDepartureTime", F.col("departure_time")),
-            _element("DestinationName", F.col("dest_name")),
-            _element("DestinationAimedArrivalTime", F.col("arrival_time")),
-            _element("ProductCategoryRef", F.col("vehicule_category")),
-            _element("VehicleMode", F.col("vehicule_mode")),
-            _element("PublishedLineName", F.col("published_line_name")),
-            F.lit("<RecordedCalls>"),
-            F.coalesce(F.array_join(F.transform("calls", lambda c: c["xml"]), ""), F.lit("")),
-            F.lit(f"</RecordedCalls></{ROW_TAG}>"),
-        ).alias("value")
+        F.struct(F.col("trip_id").alias("DatedVehicleJourneyRef")).alias(
+            "FramedVehicleJourneyRef"
+        ),
+        F.struct(F.col("train").alias("TrainNumberRef")).alias("TrainNumbers"),
+        F.col("origin_name").alias("OriginName"),
+        F.col("departure_time").alias("OriginAimedDepartureTime"),
+        F.col("dest_name").alias("DestinationName"),
+        F.col("arrival_time").alias("DestinationAimedArrivalTime"),
+        F.col("vehicule_category").alias("ProductCategoryRef"),
+        F.col("vehicule_mode").alias("VehicleMode"),
+        F.col("published_line_name").alias("PublishedLineName"),
+        F.struct(F.transform("calls", lambda c: c["call"]).alias("RecordedCall")).alias(
+            "RecordedCalls"
+        ),
     )
 
 
+def write_journeys(rows: DataFrame, path: str) -> None:
+    """XML files, each a document of its own below one root element."""
+    rows.write.format("xml").option("rowTag", ROW_TAG).option(
+        "rootTag", "EstimatedJourneyVersionFrame"
+    ).save(path)
+
+
 def forecast(ods_trips: DataFrame) -> DataFrame:
     """A stand-in forecast for the two days around ``AS_OF``: departures by hour."""
     start = times.hour_floor(F.col("departure_time"))
