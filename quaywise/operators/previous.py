@@ -76,7 +76,7 @@ def with_previous(
     return (
         local.join(carried, [key, "_slice"], "left")
         .withColumn(out, F.coalesce("_local", "_carry").getField(value))
-        .drop("_spread", "_slice", "_local", "_carry")
+        .select(*rows.columns, out)
     )
 
 

@@ -191,7 +191,13 @@ def new_stations(
         .withColumn("name_key", text.station_key(F.col("ref_name")))
         .drop("ref_name")
     )
-    found = matched.unionByName(corrected).join(referential, "name_key", "left")
+    keyed = matched.unionByName(corrected)
+    # names without any key need no join, and would all meet in one partition
+    found = (
+        keyed.where(F.col("name_key").isNotNull())
+        .join(referential, "name_key", "left")
+        .unionByName(keyed.where(F.col("name_key").isNull()), allowMissingColumns=True)
+    )
 
     def yes_no(column: str) -> Column:
         return F.when(F.col(column) == "O", True).when(F.col(column) == "N", False)

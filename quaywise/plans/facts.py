@@ -21,6 +21,10 @@ from quaywise.operators.merge import rows_to_insert
 from quaywise.operators.previous import HOT_GROUP_ROWS, with_previous
 
 LATE_MINUTES = 5
+# Stops and trips grow together: neither side is ever broadcast, however small
+# its compressed files look. AQE splits skewed partitions of this join.
+FACT_JOIN = "merge"
+HISTORY_DAYS = 7
 
 
 def _station_keys(d_station: DataFrame) -> DataFrame:
@@ -120,7 +124,7 @@ def trip_stops(
     return (
         _since(stops, since)
         .join(stations, "stop_name")
-        .join(side, ["trip_id", "ref_date"])
+        .join(side.hint(FACT_JOIN), ["trip_id", "ref_date"])
         .select(
             "trip_id", "vehicule_tk", "num_vehicule", "stop_station_tk", "origin_station_tk",
             "destination_station_tk", "line_tk",
@@ -147,6 +151,40 @@ def new_trip_stops(candidates: DataFrame, target: DataFrame, since: date | None)
     return rows_to_insert(target, candidates, ["trip_id", "ref_date_tk", "stop_station_tk"])
 
 
+def reach(f_trips: DataFrame, stored: DataFrame, since: date | None) -> DataFrame:
+    """For each day of ``f_trips`` the last day one of its stops arrives or departs.
+
+    Only the days being loaded are read again; older days keep what is stored.
+    """
+    if since is not None:
+        f_trips = f_trips.where(F.col("ref_date_tk") >= times.key_of(since))
+    loaded = f_trips.select(
+        "ref_date_tk",
+        F.col("expected_arrival_date_tk").alias("last_arrival_tk"),
+        F.col("expected_departure_date_tk").alias("last_departure_tk"),
+    )
+    return (
+        loaded.unionByName(stored)
+        .groupBy("ref_date_tk")
+        .agg(
+            F.max("last_arrival_tk").alias("last_arrival_tk"),
+            F.max("last_departure_tk").alias("last_departure_tk"),
+        )
+    )
+
+
+def reaching(f_trips: DataFrame, stored: DataFrame, last: str, lowest: int) -> DataFrame:
+    """``f_trips`` without the days known to end before day ``lowest``.
+
+    Metrics select stops by their arrival, which says nothing about the
+    partition. This prunes partitions that cannot hold such a stop; a day that
+    is not in the stored reach is kept. The list has at most one entry for each
+    day of the calendar.
+    """
+    settled = [row[0] for row in stored.where(F.col(last) < lowest).select("ref_date_tk").collect()]
+    return f_trips.where(~F.col("ref_date_tk").isin(*settled)) if settled else f_trips
+
+
 def journeys(
     trips: DataFrame,
     d_vehicule: DataFrame,
@@ -201,7 +239,7 @@ def realtime(
         "stop_station_tk",
     )
     rows = (
-        placed.join(side, ["trip_id", "ref_date"])
+        placed.join(side.hint(FACT_JOIN), ["trip_id", "ref_date"])
         .withColumn("is_starting_point", F.col("is_starting_point").cast("boolean"))
         .withColumn("is_terminus", F.col("is_terminus").cast("boolean"))
     )
@@ -406,15 +444,13 @@ def delay_steps_history(
     d_station: DataFrame,
     departements: DataFrame,
     as_of: datetime,
-    days: int = 7,
+    days: int = HISTORY_DAYS,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """The same over the stored facts of the last days, for stops with an arrival
     and a departure time."""
     since = times.key_of(times.days_before(as_of, days))
     date_tk, time_tk = F.col("expected_arrival_date_tk"), F.col("expected_arrival_time_tk")
-    # a stop that leaves on or after `since` belongs to a trip of that day, or
-    # of a day before: no limit on the partition column follows from it
     rows = f_trips.where(
         (F.col("expected_departure_date_tk") >= since)
         & (time_tk != times.UNKNOWN_KEY)

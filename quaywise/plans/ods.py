@@ -80,7 +80,8 @@ def new_stops(
     running = trips.select("trip_id", "ref_date")
     if since is not None:
         running = running.where(F.col("ref_date") >= times.day(since))
-    return fresh.join(running, "trip_id").select(
+    # neither side is ever broadcast
+    return fresh.join(running.hint("merge"), "trip_id").select(
         "trip_id",
         "stop_name",
         *[

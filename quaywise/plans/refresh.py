@@ -7,12 +7,14 @@ completed by running it again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
-from quaywise.functions.times import days_before
+from quaywise.functions.times import days_before, key_of
 from quaywise.plans import dims, facts, ods
 from quaywise.sources.tables import Tables
 
@@ -44,36 +46,57 @@ class Window:
         return cls(None, None, None, None, None)
 
 
+def together(*loads: Callable[[], None]) -> None:
+    """Loads that do not depend on each other share the cluster."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        for done in [pool.submit(load) for load in loads]:
+            done.result()
+
+
 def init_calendar(tables: Tables) -> None:
     """Date and time dimensions, with the public holidays of every year."""
     spark = tables.spark
     days = dims.d_date(spark)
-    tables.reload("ods/public_holidays", dims.public_holidays(days))
-    tables.reload("dwh/d_date", dims.flag_holidays(days, tables["ods/public_holidays"]))
-    tables.reload("dwh/d_time", dims.d_time(spark))
+    holidays = dims.public_holidays(days)
+    together(
+        lambda: tables.reload("ods/public_holidays", holidays),
+        lambda: tables.reload("dwh/d_date", dims.flag_holidays(days, holidays)),
+        lambda: tables.reload("dwh/d_time", dims.d_time(spark)),
+    )
 
 
 def load_staging(tables: Tables, trips: DataFrame, stops: DataFrame) -> None:
-    tables.reload("dsa/trips", trips)
-    tables.reload("dsa/stops", stops)
+    together(
+        lambda: tables.reload("dsa/trips", trips), lambda: tables.reload("dsa/stops", stops)
+    )
 
 
 def load_referentials(
     tables: Tables, stations: DataFrame, departements: DataFrame, corrections: DataFrame
 ) -> None:
-    tables.reload("ods/stations", stations)
-    tables.reload("ods/ref_departements", departements)
-    tables.reload("ods/station_name_corr", corrections)
+    together(
+        lambda: tables.reload("ods/stations", stations),
+        lambda: tables.reload("ods/ref_departements", departements),
+        lambda: tables.reload("ods/station_name_corr", corrections),
+    )
 
 
 def refresh_ods(tables: Tables, window: Window) -> None:
     staged = tables["dsa/trips"]
+
+    def stops() -> None:
+        tables.append(
+            "ods/stops",
+            ods.new_stops(
+                tables["dsa/stops"], tables["ods/trips"], tables["ods/stops"], window.stops
+            ),
+        )
+
     tables.append("ods/trips", ods.new_trips(staged, tables["ods/trips"], window.trips))
-    tables.append("ods/vehicules", ods.new_vehicules(staged, tables["ods/vehicules"]))
-    tables.append(
-        "ods/stops",
-        ods.new_stops(
-            tables["dsa/stops"], tables["ods/trips"], tables["ods/stops"], window.stops
+    together(
+        stops,
+        lambda: tables.append(
+            "ods/vehicules", ods.new_vehicules(staged, tables["ods/vehicules"])
         ),
     )
 
@@ -84,74 +107,80 @@ def _add_members(tables: Tables, name: str, key: str, rows: DataFrame, order: li
 
 
 def refresh_dims(tables: Tables, window: Window) -> None:
-    if tables["dwh/d_line"].isEmpty():
-        tables.append("dwh/d_line", dims.unknown_line(tables.spark))
-    if tables["dwh/d_station"].isEmpty():
-        tables.append("dwh/d_station", dims.unknown_station(tables["dwh/d_station"]))
-    _add_members(
-        tables,
-        "dwh/d_vehicule",
-        "tk_vehicule",
-        dims.new_vehicules(tables["dsa/trips"], tables["dwh/d_vehicule"]),
-        ["num_vehicule"],
-    )
-    _add_members(
-        tables,
-        "dwh/d_line",
-        "tk_line",
-        dims.new_lines(tables["ods/trips"], tables["dwh/d_line"], window.lines_after),
-        ["line_name"],
-    )
-    _add_members(
-        tables,
-        "dwh/d_station",
-        "tk_station",
-        dims.new_stations(
+    def vehicles() -> None:
+        rows = dims.new_vehicules(tables["dsa/trips"], tables["dwh/d_vehicule"])
+        _add_members(tables, "dwh/d_vehicule", "tk_vehicule", rows, ["num_vehicule"])
+
+    def lines() -> None:
+        if tables["dwh/d_line"].isEmpty():
+            tables.append("dwh/d_line", dims.unknown_line(tables.spark))
+        rows = dims.new_lines(tables["ods/trips"], tables["dwh/d_line"], window.lines_after)
+        _add_members(tables, "dwh/d_line", "tk_line", rows, ["line_name"])
+
+    def stations() -> None:
+        if tables["dwh/d_station"].isEmpty():
+            tables.append("dwh/d_station", dims.unknown_station(tables["dwh/d_station"]))
+        rows = dims.new_stations(
             tables["ods/stops"],
             tables["ods/stations"],
             tables["ods/station_name_corr"],
             tables["dwh/d_station"],
-        ),
-        ["station_name", "commune", "departement"],
-    )
+        )
+        order = ["station_name", "commune", "departement"]
+        _add_members(tables, "dwh/d_station", "tk_station", rows, order)
+
+    together(vehicles, lines, stations)
 
 
 def refresh_facts(tables: Tables, as_of: datetime, window: Window) -> None:
     stops, trips = tables["ods/stops"], tables["ods/trips"]
     members = (tables["dwh/d_vehicule"], tables["dwh/d_station"], tables["dwh/d_line"])
-    tables.append(
-        "dwh/f_trips",
-        facts.new_trip_stops(
-            facts.trip_stops(stops, trips, *members, window.facts),
-            tables["dwh/f_trips"],
-            window.facts,
-        ),
-    )
-    tables.append(
-        "dwh/f_journey",
-        facts.new_journeys(
-            facts.journeys(trips, *members, window.facts), tables["dwh/f_journey"], window.facts
-        ),
-    )
-    tables.reload("dwh/f_trips_realtime", facts.realtime(stops, trips, *members, as_of))
+    since = window.facts
+
+    def trip_stops() -> None:
+        rows = facts.trip_stops(stops, trips, *members, since)
+        tables.append("dwh/f_trips", facts.new_trip_stops(rows, tables["dwh/f_trips"], since))
+        tables.reload_from_itself(
+            "dwh/f_trips_reach",
+            facts.reach(tables["dwh/f_trips"], tables["dwh/f_trips_reach"], since),
+        )
+
+    def journeys() -> None:
+        rows = facts.journeys(trips, *members, since)
+        tables.append("dwh/f_journey", facts.new_journeys(rows, tables["dwh/f_journey"], since))
+
+    def realtime() -> None:
+        tables.reload("dwh/f_trips_realtime", facts.realtime(stops, trips, *members, as_of))
+
+    together(trip_stops, journeys, realtime)
 
 
 def refresh_metrics(tables: Tables, as_of: datetime, window: Window) -> None:
     since = window.metrics
-    f_trips = tables["dwh/f_trips"]
-    tables.replace_days("dwh/f_line_metrics", facts.line_metrics(f_trips, since))
-    tables.replace_days("dwh/f_station_platform_usage", facts.platform_usage(f_trips, since))
-    tables.replace_days(
-        "dwh/f_station_daily_metrics",
-        facts.daily_metrics(tables["dwh/f_station_platform_usage"], since),
-    )
+    f_trips, reach = tables["dwh/f_trips"], tables["dwh/f_trips_reach"]
+    lowest = 0 if since is None else key_of(since)
+    arrived = facts.reaching(f_trips, reach, "last_arrival_tk", lowest)
+    week = key_of(days_before(as_of, facts.HISTORY_DAYS))
+    recent = facts.reaching(f_trips, reach, "last_departure_tk", week)
     places = (tables["dwh/d_station"], tables["ods/ref_departements"])
-    tables.reload(
-        "dwh/delay_steps_realtime",
-        facts.delay_steps_realtime(tables["dwh/f_trips_realtime"], *places),
-    )
-    tables.reload(
-        "dwh/delay_steps_history", facts.delay_steps_history(f_trips, *places, as_of=as_of)
+
+    def stations() -> None:
+        tables.replace_days("dwh/f_station_platform_usage", facts.platform_usage(arrived, since))
+        tables.replace_days(
+            "dwh/f_station_daily_metrics",
+            facts.daily_metrics(tables["dwh/f_station_platform_usage"], since),
+        )
+
+    together(
+        lambda: tables.replace_days("dwh/f_line_metrics", facts.line_metrics(arrived, since)),
+        stations,
+        lambda: tables.reload(
+            "dwh/delay_steps_realtime",
+            facts.delay_steps_realtime(tables["dwh/f_trips_realtime"], *places),
+        ),
+        lambda: tables.reload(
+            "dwh/delay_steps_history", facts.delay_steps_history(recent, *places, as_of=as_of)
+        ),
     )
 
 

@@ -276,7 +276,10 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         stops.withColumn("production_date", later),
     )
     root = _stream(
-        spark, sf_dir, streams.upsert_batch, [messages.trip_messages(trips, stops), second]
+        spark,
+        sf_dir,
+        lambda folder: streams.upsert_batch(folder, buckets=8),
+        [messages.trip_messages(trips, stops), second],
     )
     return spark.read.parquet(f"{root}/trips").drop("bucket")
 

@@ -17,15 +17,17 @@ _built: dict[tuple[str, str], Tables] = {}
 def build(spark: SparkSession, sf_dir: str) -> Tables:
     """Load everything into a new folder below the shared scratch folder."""
     tables = Tables(spark, scratch_path(spark, "warehouse"))
-    refresh.init_calendar(tables)
-    refresh.load_referentials(
-        tables,
-        sample.stations(spark, sf_dir),
-        sample.departements(spark, sf_dir),
-        sample.name_corrections(spark, sf_dir),
-    )
-    refresh.load_staging(
-        tables, sample.staged_trips(spark, sf_dir), sample.staged_stops(spark, sf_dir)
+    refresh.together(
+        lambda: refresh.init_calendar(tables),
+        lambda: refresh.load_referentials(
+            tables,
+            sample.stations(spark, sf_dir),
+            sample.departements(spark, sf_dir),
+            sample.name_corrections(spark, sf_dir),
+        ),
+        lambda: refresh.load_staging(
+            tables, sample.staged_trips(spark, sf_dir), sample.staged_stops(spark, sf_dir)
+        ),
     )
     refresh.run_refresh(tables, AS_OF, refresh.Window.history())
     tables.reload("forecast/fact_train_volume_forecast", sample.forecast(tables["ods/trips"]))

@@ -136,6 +136,9 @@ F_STATION_DAILY_METRICS = """
     nb_platforms_used bigint, most_used_platform string, ref_date_tk int
 """
 
+# latest day any stop of a partition of f_trips arrives or departs
+F_TRIPS_REACH = "ref_date_tk int, last_arrival_tk int, last_departure_tk int"
+
 # delay of a stop and of the stop before it, with the region of the stop
 DELAY_STEPS = """
     trip_id string, region_station string, ref_date date, heure_passage int,
@@ -169,6 +172,7 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "dwh/d_line": (D_LINE, ()),
     "dwh/d_vehicule": (D_VEHICULE, ()),
     "dwh/f_trips": (F_TRIPS, ("ref_date_tk",)),
+    "dwh/f_trips_reach": (F_TRIPS_REACH, ()),
     "dwh/f_journey": (F_JOURNEY, ("ref_date_tk",)),
     "dwh/f_trips_realtime": (F_TRIPS_REALTIME, ()),
     "dwh/f_line_metrics": (F_LINE_METRICS, ("ref_date_tk",)),

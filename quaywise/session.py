@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_local_roots: dict[str, str] = {}
+
 
 def build_session(app: str = "quaywise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``__`` for dots."""
@@ -43,9 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="quaywise-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="quaywise-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -43,17 +43,20 @@ def _text(ts: Column) -> Column:
 
 
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the order of calls: line number, then part
-    index = F.col("l_linenumber").cast("bigint") * 1_000_000_000_000 + F.col("l_partkey")
+    """Line items in the order of ``call_index``: by line number, and for equal
+    ones by a number mixed from the other columns."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    quantity = F.col("l_quantity").cast("int")
+    mixed = F.col("l_partkey") * 1_000_003 + F.col("l_suppkey") * 10_007 + cents * 31 + quantity
+    index = F.col("l_linenumber").cast("bigint") * 10**15 + mixed % 10**15
     return _table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_suppkey",
         "l_linenumber",
-        F.col("l_quantity").cast("int").alias("quantity"),
+        quantity.alias("quantity"),
         "l_returnflag",
         "l_linestatus",
         index.alias("call_index"),
-        F.struct(index.alias("i"), F.col("l_suppkey").alias("s")).alias("place"),
     )
 
 
@@ -65,8 +68,10 @@ def _journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
         _calls(spark, sf_dir)
         .groupBy("l_orderkey")
         .agg(
-            F.min("place").alias("first_call"),
-            F.max("place").alias("last_call"),
+            F.min("call_index").alias("first_call"),
+            F.max("call_index").alias("last_call"),
+            F.min_by("l_suppkey", "call_index").alias("first_station"),
+            F.max_by("l_suppkey", "call_index").alias("last_station"),
             F.max("l_linenumber").alias("last_line"),
         )
     )
@@ -75,7 +80,7 @@ def _journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         orders.select("o_orderkey", "o_custkey", "o_orderpriority")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(ends, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(ends.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .withColumn(
             "departure",
             times.shift_minutes(
@@ -100,8 +105,8 @@ def staged_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         _journeys(spark, sf_dir)
-        .join(origin, F.col("first_call.s") == F.col("origin_key"), "left")
-        .join(dest, F.col("last_call.s") == F.col("dest_key"), "left")
+        .join(origin, F.col("first_station") == F.col("origin_key"), "left")
+        .join(dest, F.col("last_station") == F.col("dest_key"), "left")
         .select(
             F.concat(F.lit("T"), key.cast("string")).alias("trip_id"),
             F.when(F.col("o_custkey") % 50 == 0, "N/A")
@@ -132,8 +137,8 @@ def staged_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     # lateness of the call in seconds, from 2.5 minutes early to 9.5 late
     late = (F.col("quantity") % 25 - 5) * 30
     minutes = F.col("l_linenumber") * 20
-    first = F.col("place") == F.col("first_call")
-    last = F.col("place") == F.col("last_call")
+    first = F.col("call_index") == F.col("first_call")
+    last = F.col("call_index") == F.col("last_call")
 
     def at(offset_minutes: Column, lateness: Column | None, missing: Column) -> Column:
         ts = times.shift_minutes(F.col("departure"), offset_minutes)
@@ -143,7 +148,7 @@ def staged_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (
         _calls(spark, sf_dir)
-        .join(journeys, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(journeys.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(stations, F.col("l_suppkey") == F.col("station_key"))
         .select(
             F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("trip_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quaywise import schemas
@@ -75,3 +76,10 @@ class Tables:
         self._shaped(name, rows).write.parquet(staged)
         columns, _ = schemas.TABLES[name]
         self.reload(name, self.spark.read.schema(columns).parquet(staged))
+
+    def compact_days(self, name: str, days: list[int] | list[str]) -> None:
+        """Rewrite some day partitions, after many small appends, into few files."""
+        columns, partitions = schemas.TABLES[name]
+        staged = scratch_path(self.spark, "staged")
+        self.read(name).where(F.col(partitions[0]).isin(*days)).write.parquet(staged)
+        self.replace_days(name, self.spark.read.schema(columns).parquet(staged))
