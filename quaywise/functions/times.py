@@ -98,5 +98,11 @@ def keys_to_ts(date_tk: Column, time_tk: Column) -> Column:
     )
 
 
+def keys_to_hour(date_tk: Column, time_tk: Column) -> Column:
+    """Start of the clock hour of a date key and a time key; NULL if unknown."""
+    hours = F.call_function("div", F.when(time_tk >= 0, time_tk), F.lit(10000)).cast("int")
+    return key_to_date(date_tk).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours)
+
+
 def days_before(as_of: datetime, days: int) -> date:
     return as_of.date() - timedelta(days=days)

@@ -37,7 +37,8 @@ def _among(rows: DataFrame, column: str, values: Sequence[int] | None) -> DataFr
 
 
 def late_share_today(tables: Tables, as_of: datetime) -> DataFrame:
-    today = kpi.late_rate(tables).where(F.col("jour") == times.day(as_of.date()))
+    day = as_of.date()
+    today = kpi.late_rate(tables, day).where(F.col("jour") == times.day(day))
     share = ratio(F.sum("nb_trains_en_retard") * 100, F.sum("nb_trains_total"))
     rates = today.agg(share.alias("taux_retard_pct"))
     return rates.withColumn("taux_ponctualite_pct", F.lit(100.0) - F.col("taux_retard_pct"))
@@ -341,9 +342,7 @@ def stations_or_all(
 
 
 def _recent_station_days(tables: Tables, as_of: datetime, station: int | None) -> DataFrame:
-    rows = kpi.station_days(tables).where(
-        F.col("ref_date") >= times.day(times.days_before(as_of, 1))
-    )
+    rows = kpi.station_days(tables, times.days_before(as_of, 1))
     return _only(rows, "station_tk", station)
 
 
@@ -362,7 +361,8 @@ def station_flow(tables: Tables, as_of: datetime, station: int | None = None) ->
 
 
 def platforms_today(tables: Tables, as_of: datetime, station: int | None = None) -> DataFrame:
-    rows = kpi.platform_days(tables).where(F.col("date") == times.day(as_of.date()))
+    day = as_of.date()
+    rows = kpi.platform_days(tables, day).where(F.col("date") == times.day(day))
     return (
         _only(rows, "tk_station", station)
         .orderBy(F.desc("trafic_total"), F.asc("station_name"), F.asc("platform_name"))

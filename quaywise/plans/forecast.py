@@ -89,14 +89,14 @@ def training_set(tables: Tables, first: datetime, last: datetime) -> DataFrame:
         & (F.col("expected_departure_date_tk") != times.UNKNOWN_KEY)
     )
 
-    def moment(kind: str) -> Column:
-        return times.keys_to_ts(F.col(f"{kind}_date_tk"), F.col(f"{kind}_time_tk"))
+    def hour_of(kind: str) -> Column:
+        return times.keys_to_hour(F.col(f"{kind}_date_tk"), F.col(f"{kind}_time_tk"))
 
     overlaps = spread_hours(
-        stops.select("trip_id", moment("expected_departure").alias("dep"),
-                     moment("expected_arrival").alias("arr")),
-        times.hour_floor(F.col("dep")),
-        times.hour_floor(F.col("arr")),
+        stops.select("trip_id", hour_of("expected_departure").alias("dep"),
+                     hour_of("expected_arrival").alias("arr")),
+        F.col("dep"),
+        F.col("arr"),
         first,
         last,
     )
@@ -152,7 +152,11 @@ def _numeric(rows: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame, created_at: datetime) -> tuple[PipelineModel, DataFrame]:
-    """Model and its one metadata row, from the hourly training sets."""
+    """Model and its one metadata row, from the stored hourly training sets.
+
+    ``rows`` is read several times, so it should come from storage. It has one
+    row for each hour of the calendar at most.
+    """
     spark = rows.sparkSession
     hours = unique_hours(rows).withColumn("hour", F.hour("hour_start"))
     hours = _numeric(hours).withColumn("label", F.col(LABEL).cast("double"))

@@ -13,37 +13,55 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from quaywise.functions.times import days_before, key_of
+from quaywise.functions.times import day, days_before, key_of
 from quaywise.plans import dims, facts, ods
 from quaywise.sources.tables import Tables
 
 
 @dataclass(frozen=True)
 class Window:
-    """How far back each load reaches; None loads everything that is staged."""
-
-    trips: date | None
-    stops: date | None
-    lines_after: date | None
-    facts: date | None
-    metrics: date | None
+    """How far back each load reaches; None stands for all days."""
+
+    trips: date | None = None
+    stops: date | None = None
+    names: date | None = None
+    lines_after: date | None = None
+    facts: date | None = None
+    metrics: date | None = None
+    # a stop stored before this day no longer keeps its (trip, name) from being
+    # added again; None compares with the whole history
+    known: date | None = None
 
     @classmethod
-    def rolling(cls, as_of: datetime) -> Window:
-        """The windows of the periodic refresh."""
+    def rolling(cls, as_of: datetime, known_days: int | None = None) -> Window:
+        """The windows of the periodic refresh.
+
+        New stops run on these days, so no other day can bring a new station
+        name; after a reload of the station referential run
+        ``refresh_dims(tables, Window.history())`` once. Trip ids that contain
+        their date never come back: there ``known_days`` of a few days gives the
+        same result and spares the scan of the old days.
+        """
         return cls(
             trips=days_before(as_of, 0),
             stops=days_before(as_of, 2),
+            names=days_before(as_of, 2),
             lines_after=days_before(as_of, 2),
             facts=days_before(as_of, 1),
             metrics=days_before(as_of, 1),
+            known=None if known_days is None else days_before(as_of, known_days),
         )
 
     @classmethod
     def history(cls) -> Window:
         """Backfill of all days."""
-        return cls(None, None, None, None, None)
+        return cls()
+
+
+def _days_from(rows: DataFrame, since: date | None) -> DataFrame:
+    return rows if since is None else rows.where(F.col("ref_date") >= day(since))
 
 
 def together(*loads: Callable[[], None]) -> None:
@@ -88,7 +106,10 @@ def refresh_ods(tables: Tables, window: Window) -> None:
         tables.append(
             "ods/stops",
             ods.new_stops(
-                tables["dsa/stops"], tables["ods/trips"], tables["ods/stops"], window.stops
+                tables["dsa/stops"],
+                tables["ods/trips"],
+                _days_from(tables["ods/stops"], window.known),
+                window.stops,
             ),
         )
 
@@ -121,7 +142,7 @@ def refresh_dims(tables: Tables, window: Window) -> None:
         if tables["dwh/d_station"].isEmpty():
             tables.append("dwh/d_station", dims.unknown_station(tables["dwh/d_station"]))
         rows = dims.new_stations(
-            tables["ods/stops"],
+            _days_from(tables["ods/stops"], window.names),
             tables["ods/stations"],
             tables["ods/station_name_corr"],
             tables["dwh/d_station"],

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,17 +148,27 @@ def _ods_window(tables: Tables) -> DataFrame:
 # --- feeds -----------------------------------------------------------------
 
 
-def _written_text(spark: SparkSession, rows: DataFrame, name: str) -> str:
-    path = scratch_path(spark, name)
-    rows.select("value").write.text(path)
-    return path
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def _landing(
+    spark: SparkSession, sf_dir: str, kind: str, write: Callable[[Tables, str], None]
+) -> str:
+    """Folder of a feed made from the staged tables, written once for a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _landed:
+        path = scratch_path(spark, kind)
+        write(warehouse(spark, sf_dir), path)
+        _landed[key] = path
+    return _landed[key]
 
 
 def _journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = warehouse(spark, sf_dir)
-    path = scratch_path(spark, "xml")
-    sample.write_journeys(sample.journeys(tables["dsa/trips"], tables["dsa/stops"]), path)
-    return siri.read_journeys(spark, path)
+    def write(tables: Tables, path: str) -> None:
+        rows = sample.journeys(tables["dsa/trips"], tables["dsa/stops"])
+        sample.write_journeys(rows, path)
+
+    return siri.read_journeys(spark, _landing(spark, sf_dir, "xml", write))
 
 
 def _xml_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,14 +181,17 @@ def _xml_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = warehouse(spark, sf_dir)
-    return messages.trip_messages(tables["dsa/trips"], tables["dsa/stops"])
+    """The messages of the whole feed, one on each line of the landed files."""
+
+    def write(tables: Tables, path: str) -> None:
+        rows = messages.trip_messages(tables["dsa/trips"], tables["dsa/stops"])
+        rows.select("value").write.text(path)
+
+    return spark.read.text(_landing(spark, sf_dir, "messages", write))
 
 
 def _message_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stops of the JSON messages, written and read back."""
-    path = _written_text(spark, _messages(spark, sf_dir), "json")
-    return messages.message_stops(messages.parse_messages(spark.read.text(path)))
+    return messages.message_stops(messages.parse_messages(_messages(spark, sf_dir)))
 
 
 def _gtfs_updates(tables: Tables) -> DataFrame:
@@ -215,6 +226,14 @@ def _gtfs_updates(tables: Tables) -> DataFrame:
     return gtfs.stop_updates(entities)
 
 
+def _training_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recent training set, stored as daily objects and read as one folder."""
+    folder = scratch_path(spark, "training")
+    rows = forecast.training_set(warehouse(spark, sf_dir), *forecast.recent_window(AS_OF))
+    objects.write_daily(rows, folder, "date")
+    return objects.read_daily(spark, folder)
+
+
 def _daily_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training set as daily objects, one day written twice, read as one folder."""
     tables = warehouse(spark, sf_dir)
@@ -245,8 +264,7 @@ def _stream(spark: SparkSession, sf_dir: str, sink, feeds: list[DataFrame]) -> s
 
 def _with_bad_lines(feed: DataFrame) -> DataFrame:
     """Every message, and a cut-off copy of each that no parser can read."""
-    cut = feed.select("key", F.concat(F.lit("{"), F.col("value")).alias("value"))
-    return feed.unionByName(cut)
+    return feed.unionByName(feed.select(F.concat(F.lit("{"), F.col("value")).alias("value")))
 
 
 def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +297,7 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         lambda folder: streams.upsert_batch(folder, buckets=8),
-        [messages.trip_messages(trips, stops), second],
+        [_messages(spark, sf_dir), second],
     )
     return spark.read.parquet(f"{root}/trips").drop("bucket")
 
@@ -287,32 +305,26 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- forecast --------------------------------------------------------------
 
 
-def _trained_until(spark: SparkSession, sf_dir: str) -> datetime:
-    """Last hour that an 80 % split of the recent training set trains on."""
-    hours = forecast.training_set(warehouse(spark, sf_dir), *forecast.recent_window(AS_OF))
-    train, _ = forecast.split_by_time(forecast.unique_hours(hours))
-    return train.agg(F.max("hour_start")).first()[0]
-
-
 def _forecast_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours to predict, beside the trains of the same hour a week before."""
-    tables = warehouse(spark, sf_dir)
-    grid = forecast.future_grid(tables, _trained_until(spark, sf_dir), AS_OF)
-    past = forecast.training_set(tables, *forecast.recent_window(AS_OF)).select(
+    past = _training_objects(spark, sf_dir)
+    train, _ = forecast.split_by_time(forecast.unique_hours(past))
+    until = train.agg(F.max("hour_start")).first()[0]
+    grid = forecast.future_grid(warehouse(spark, sf_dir), until, AS_OF)
+    week_ago = past.select(
         times.shift_hours(F.col("hour_start"), 24 * 7).alias("hour_start"),
         F.col("nb_trains_actifs").alias("nb_trains_j_7"),
     )
-    return grid.join(past, "hour_start", "left").withColumn(
+    return grid.join(week_ago, "hour_start", "left").withColumn(
         "nb_trains_j_7", F.coalesce("nb_trains_j_7", F.lit(0).cast("bigint"))
     )
 
 
 def _train_volume_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load the latest model and predict the coming hours."""
-    tables = warehouse(spark, sf_dir)
     models = scratch_path(spark, "models")
-    rows = forecast.training_set(tables, *forecast.recent_window(AS_OF))
-    forecast.save(*forecast.fit(rows, AS_OF), models)
+    forecast.save(*forecast.fit(_training_objects(spark, sf_dir), AS_OF), models)
+    tables = warehouse(spark, sf_dir)
     own = Tables(spark, scratch_path(spark, "forecast"))
     model, metadata = forecast.load_latest(spark, models)
     grid = forecast.future_grid(tables, metadata["trained_until"], AS_OF)

@@ -265,7 +265,7 @@ def journeys(trips: DataFrame, stops: DataFrame, max_stops: int = MAX_STOPS) ->
         .groupBy("trip_id", "part")
         .agg(F.array_sort(F.collect_list(call)).alias("calls"))
     )
-    return trips.join(calls, "trip_id", "left").select(
+    return trips.join(calls.hint("merge"), "trip_id", "left").select(
         F.struct(F.col("trip_id").alias("DatedVehicleJourneyRef")).alias(
             "FramedVehicleJourneyRef"
         ),
