@@ -16,6 +16,7 @@ from quaywise.functions import times
 from quaywise.operators.distinct import entities, per_entity
 from quaywise.operators.hours import hour_spine, spread_hours
 from quaywise.operators.merge import pick_one
+from quaywise.sources.objects import write_daily
 from quaywise.sources.tables import Tables
 
 CALENDAR_FEATURES = (
@@ -113,6 +114,17 @@ def training_set(tables: Tables, first: datetime, last: datetime) -> DataFrame:
     )
 
 
+def store_training_set(tables: Tables, folder: str, as_of: datetime) -> None:
+    """The daily job: yesterday's training set as an object of its own.
+
+    Sets of consecutive days overlap, and the older one has hours the newer one
+    lacks, so objects are kept by the day they were made for and not by date.
+    """
+    made_for = times.days_before(as_of, 1).strftime("%Y%m%d")
+    rows = training_set(tables, *yesterday_window(as_of))
+    write_daily(rows.withColumn("made_for", F.lit(int(made_for))), folder, "made_for")
+
+
 def future_grid(tables: Tables, trained_until: datetime, as_of: datetime) -> DataFrame:
     """Features of every hour after ``trained_until`` up to tomorrow 23:00."""
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)

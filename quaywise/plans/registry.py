@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -227,7 +229,7 @@ def _gtfs_updates(tables: Tables) -> DataFrame:
 
 
 def _training_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The recent training set, stored as daily objects and read as one folder."""
+    """The recent training set, stored and read back."""
     folder = scratch_path(spark, "training")
     rows = forecast.training_set(warehouse(spark, sf_dir), *forecast.recent_window(AS_OF))
     objects.write_daily(rows, folder, "date")
@@ -235,17 +237,12 @@ def _training_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training set as daily objects, one day written twice, read as one folder."""
+    """The daily job over five days, the last of them run twice; one row for each hour."""
     tables = warehouse(spark, sf_dir)
     folder = scratch_path(spark, "objects")
-    rows = forecast.training_set(tables, *forecast.recent_window(AS_OF))
-    objects.write_daily(rows, folder, "date")
-    again = forecast.training_set(tables, *forecast.yesterday_window(AS_OF))
-    objects.write_daily(again.where(F.col("date") == times.day(times.days_before(AS_OF, 1))),
-                        folder, "date")
-    return objects.read_daily(spark, folder).groupBy("date").agg(
-        F.count(F.lit(1)).alias("nb_hours"), F.sum("nb_trains_actifs").alias("nb_trains_actifs")
-    )
+    for days_ago in (4, 3, 2, 1, 0, 0):
+        forecast.store_training_set(tables, folder, AS_OF - timedelta(days=days_ago))
+    return forecast.unique_hours(objects.read_daily(spark, folder).drop("made_for"))
 
 
 # --- streams ---------------------------------------------------------------
@@ -276,8 +273,10 @@ def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _with_bad_lines(_messages(spark, sf_dir))
     root = _stream(spark, sf_dir, streams.append_batch, [feed])
-    good = spark.read.parquet(f"{root}/trips").agg(F.count(F.lit(1)).alias("nb_trips"))
-    bad = spark.read.parquet(f"{root}/rejects").agg(F.count(F.lit(1)).alias("nb_rejects"))
+    # a very long trip comes in several messages: trips are counted
+    trip_id = F.regexp_extract("value", '"trip_id":"([^"]+)"', 1)
+    good = spark.read.parquet(f"{root}/trips").agg(F.count_distinct("trip_id").alias("nb_trips"))
+    bad = spark.read.parquet(f"{root}/rejects").agg(F.count_distinct(trip_id).alias("nb_rejects"))
     return good.crossJoin(bad)  # one row each
 
 

@@ -242,8 +242,14 @@ def name_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def journeys(trips: DataFrame, stops: DataFrame, max_stops: int = MAX_STOPS) -> DataFrame:
-    """Staged rows in the shape of the feed: one row for each journey element."""
+def journeys(
+    trips: DataFrame, stops: DataFrame, max_stops: int = 10 * MAX_STOPS
+) -> DataFrame:
+    """Staged rows in the shape of the feed: one row for each journey element.
+
+    A journey above ``max_stops`` calls is written as several elements; the
+    reader then sees a first call in each of them.
+    """
 
     def filled(name: str) -> Column:
         return F.nullif(F.col(name), F.lit(""))
