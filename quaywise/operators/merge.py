@@ -33,10 +33,11 @@ def rows_to_insert(
     """The source rows an insert-if-absent would add, one for each key.
 
     ``order`` is left out when the source already has one row for each key.
-    The anti-join comes first so that only new keys are sorted.
+    The source is made unique first, so that the join meets each key once even
+    where one key holds most of the source; it reuses the shuffle by key.
     """
-    fresh = source.join(target.select(*key), list(key), "left_anti")
-    return pick_one(fresh, key, order) if order else fresh
+    unique = pick_one(source, key, order) if order else source
+    return unique.join(target.select(*key), list(key), "left_anti")
 
 
 def latest_wins(

@@ -21,6 +21,10 @@ ALL = "-2"
 LINE_DAYS = 14
 PUNCTUAL_PERCENT = 90
 
+# Texts of the departure board.
+RUNNING, ON_TIME, NO_STATUS = "En cours", "À l’heure", "Indéterminé"
+STATUS_TEXT = {"PREVU": "À venir", "TERMINE": "Terminé"}
+
 
 def _only(rows: DataFrame, column: str, value: int | str | None) -> DataFrame:
     """Keep one value; the predicate is not there at all for "all"."""
@@ -444,16 +448,12 @@ def departure_board(
         )
 
     delay, departure = F.col("delay_arrival_minutes"), F.col("expected_departure")
-    running = (
-        F.when(delay.isNull(), "En cours")
-        .when(delay <= 1, "À l’heure")
-        .otherwise(F.concat(F.lit("Retard "), delay.cast("string"), F.lit(" min")))
-    )
-    shown_status = (
-        F.when(F.col("status_journey") == "EN_COURS", running)
-        .when(F.col("status_journey") == "PREVU", "À venir")
-        .when(F.col("status_journey") == "TERMINE", "Terminé")
-        .otherwise("Indéterminé")
+    minutes_late = F.format_string("Retard %d min", delay)
+    running = F.when(delay > 1, minutes_late).when(delay.isNotNull(), ON_TIME).otherwise(RUNNING)
+    others = F.create_map(*[F.lit(x) for pair in STATUS_TEXT.items() for x in pair])
+    status = F.col("status_journey")
+    shown_status = F.when(status == "EN_COURS", running).otherwise(
+        F.coalesce(others[status], F.lit(NO_STATUS))
     )
     stops = (
         realtime.where(departure.isNotNull())

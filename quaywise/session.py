@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a refresh has a few hundred generated classes; the default of 100 would
+    # compile most of them again on every run
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # dynamic overwrite is also asked for by each writer
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
