@@ -289,3 +289,28 @@ def test_facts_wait_for_unknown_trains(spark, tables):
         tables["dwh/d_line"], None,
     )
     assert {r.trip_id for r in rows.collect()} == {"t1"}
+
+
+def test_comparison_with_known_stops_can_be_bounded(spark, tables):
+    referentials(spark, tables)
+    feed(spark, tables)
+    old = frame(spark, "ods/stops", [
+        {"trip_id": "t1", "stop_name": "B", "ref_date": date(2023, 12, 1)},
+        {"trip_id": "t1", "stop_name": "C", "ref_date": date(2024, 1, 14)},
+    ])
+    tables.append("ods/stops", old)
+    refresh.refresh_ods(tables, refresh.Window.rolling(NOW))
+    today = tables["ods/stops"].where("trip_id = 't1' and ref_date = '2024-01-15'")
+    assert values(today, "stop_name") == [("A",)]
+    refresh.refresh_ods(tables, refresh.Window.rolling(NOW, known_days=3))
+    assert values(today.sparkSession.read.schema(schemas.ODS_STOPS).parquet(
+        tables.path("ods/stops")).where("trip_id = 't1' and ref_date = '2024-01-15'"),
+        "stop_name") == [("A",), ("B",)]
+
+
+def test_one_key_with_most_rows_is_inserted_once(spark):
+    rows = [stop("N/A", i, "same") for i in range(500)] + [stop("x", 0, "other")]
+    staged = frame(spark, "dsa/stops", rows)
+    trips = frame(spark, "ods/trips", [{"trip_id": "N/A", "ref_date": date(2024, 1, 15)}])
+    added = ods.new_stops(staged, trips, frame(spark, "ods/stops", []), None)
+    assert values(added, "stop_name", "is_starting_point") == [("same", 1)]
