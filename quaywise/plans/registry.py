@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,19 +151,30 @@ def _ods_window(tables: Tables) -> DataFrame:
 # --- feeds -----------------------------------------------------------------
 
 
-_landed: dict[tuple[str, str, str], str] = {}
+_folders: dict[tuple[str, str, str], str] = {}
+_folders_lock = RLock()  # a run may need another folder
+
+
+def _once(spark: SparkSession, sf_dir: str, kind: str, run: Callable[[], str]) -> str:
+    """Folder that ``run`` fills, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    with _folders_lock:
+        if key not in _folders:
+            _folders[key] = run()
+        return _folders[key]
 
 
 def _landing(
     spark: SparkSession, sf_dir: str, kind: str, write: Callable[[Tables, str], None]
 ) -> str:
-    """Folder of a feed made from the staged tables, written once for a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _landed:
+    """Folder of a feed made from the staged tables."""
+
+    def run() -> str:
         path = scratch_path(spark, kind)
         write(warehouse(spark, sf_dir), path)
-        _landed[key] = path
-    return _landed[key]
+        return path
+
+    return _once(spark, sf_dir, kind, run)
 
 
 def _journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +208,8 @@ def _message_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.message_stops(messages.parse_messages(_messages(spark, sf_dir)))
 
 
-def _gtfs_updates(tables: Tables) -> DataFrame:
-    """Stop updates from decoded entities, one entity for each stop."""
+def _gtfs_entities(tables: Tables) -> DataFrame:
+    """Decoded entities, one for each stop."""
 
     def event(kind: str):
         seen = F.col(f"expected_{kind}")
@@ -209,7 +221,7 @@ def _gtfs_updates(tables: Tables) -> DataFrame:
             ),
         )
 
-    entities = tables["ods/stops"].select(
+    return tables["ods/stops"].select(
         F.col("trip_id").alias("id"),
         F.struct(
             F.struct(
@@ -225,7 +237,10 @@ def _gtfs_updates(tables: Tables) -> DataFrame:
             ).alias("stop_time_update"),
         ).alias("trip_update"),
     )
-    return gtfs.stop_updates(entities)
+
+
+def _gtfs_updates(tables: Tables) -> DataFrame:
+    return gtfs.stop_updates(_gtfs_entities(tables))
 
 
 def _training_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,14 +263,18 @@ def _daily_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str, sink, feeds: list[DataFrame]) -> str:
+def _stream(
+    spark: SparkSession,
+    sink: Callable[[str], Callable[[DataFrame, int], None]],
+    feeds: list[DataFrame],
+    read: Callable[[DataFrame], DataFrame] = streams.parsed_stream,
+) -> str:
     """Run the feeds one after another through a sink; returns its folder."""
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     checkpoint = scratch_path(spark, "checkpoint")
     for feed in feeds:
         feed.select("value").write.mode("append").text(landing)
-        stream = streams.parsed_stream(streams.file_messages(spark, landing))
-        streams.drain(stream, sink(root), checkpoint)
+        streams.drain(read(streams.file_messages(spark, landing)), sink(root), checkpoint)
     return root
 
 
@@ -266,13 +285,13 @@ def _with_bad_lines(feed: DataFrame) -> DataFrame:
 
 def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _with_bad_lines(_messages(spark, sf_dir))
-    root = _stream(spark, sf_dir, streams.append_batch, [feed])
+    root = _stream(spark, streams.append_batch, [feed])
     return spark.read.parquet(f"{root}/stops").drop("batch")
 
 
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _with_bad_lines(_messages(spark, sf_dir))
-    root = _stream(spark, sf_dir, streams.append_batch, [feed])
+    root = _stream(spark, streams.append_batch, [feed])
     # a very long trip comes in several messages: trips are counted
     trip_id = F.regexp_extract("value", '"trip_id":"([^"]+)"', 1)
     good = spark.read.parquet(f"{root}/trips").agg(F.count_distinct("trip_id").alias("nb_trips"))
@@ -280,25 +299,51 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.crossJoin(bad)  # one row each
 
 
-def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips after two feeds; the second, an hour newer, moves the destination."""
-    tables = warehouse(spark, sf_dir)
-    trips, stops = tables["dsa/trips"], tables["dsa/stops"]
-    later = times.shift_hours(F.col("production_date"), 1)
-    moved = trips.where(F.col("published_line_name") != "N/A").withColumn(
-        "dest_name", F.concat("dest_name", F.lit(" 2"))
-    )
-    second = messages.trip_messages(
-        moved.withColumn("production_date", later),
-        stops.withColumn("production_date", later),
-    )
+def _stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops of a feed in which every message is sent twice."""
+    feed = _messages(spark, sf_dir)
     root = _stream(
         spark,
-        sf_dir,
-        lambda folder: streams.upsert_batch(folder, buckets=8),
-        [_messages(spark, sf_dir), second],
+        streams.append_batch,
+        [feed.unionByName(feed)],
+        lambda messages_in: streams.parsed_stream(messages_in, "2 hours"),
     )
-    return spark.read.parquet(f"{root}/trips").drop("bucket")
+    return spark.read.parquet(f"{root}/stops").drop("batch")
+
+
+def _stream_gtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities = _gtfs_entities(warehouse(spark, sf_dir))
+    feed = entities.select(F.to_json(F.struct("*")).alias("value"))
+    root = _stream(spark, streams.gtfs_batch, [feed], lambda messages_in: messages_in)
+    return spark.read.parquet(f"{root}/stop_updates").drop("batch")
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> str:
+    """Tables after two feeds; the second, an hour newer, moves the destination."""
+
+    def run() -> str:
+        tables = warehouse(spark, sf_dir)
+        trips, stops = tables["dsa/trips"], tables["dsa/stops"]
+        later = times.shift_hours(F.col("production_date"), 1)
+        moved = trips.where(F.col("published_line_name") != "N/A").withColumn(
+            "dest_name", F.concat("dest_name", F.lit(" 2"))
+        )
+        second = messages.trip_messages(moved.withColumn("production_date", later), stops)
+        return _stream(
+            spark,
+            lambda folder: streams.upsert_batch(folder, buckets=8),
+            [_messages(spark, sf_dir), second],
+        )
+
+    return _once(spark, sf_dir, "upserted", run)
+
+
+def _stream_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/trips").drop("bucket")
+
+
+def _stream_upsert_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/stops").drop("bucket")
 
 
 # --- forecast --------------------------------------------------------------
@@ -451,5 +496,8 @@ def queries() -> dict[str, Query]:
         "gtfs_stop_updates": t(_gtfs_updates),
         "stream_append_stops": _stream_append,
         "stream_rejects": _stream_rejects,
-        "stream_upsert_trips": _stream_upsert,
+        "stream_upsert_trips": _stream_upsert_trips,
+        "stream_upsert_stops": _stream_upsert_stops,
+        "stream_redelivered_stops": _stream_redelivered,
+        "stream_gtfs_updates": _stream_gtfs,
     }

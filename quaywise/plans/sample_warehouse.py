@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import SparkSession
 
 from quaywise.plans import refresh
@@ -11,7 +13,8 @@ from quaywise.sources.tables import Tables
 
 AS_OF = sample.AS_OF
 
-_built: dict[tuple[str, str], Tables] = {}
+_built: dict[tuple[str, str], str] = {}
+_lock = Lock()
 
 
 def build(spark: SparkSession, sf_dir: str) -> Tables:
@@ -37,7 +40,7 @@ def build(spark: SparkSession, sf_dir: str) -> Tables:
 def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
     """The loaded tables; queries read these as dashboards read a warehouse."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = build(spark, sf_dir)
-    tables = _built[key]
-    return Tables(spark, tables.root)
+    with _lock:
+        if key not in _built:
+            _built[key] = build(spark, sf_dir).root
+    return Tables(spark, _built[key])

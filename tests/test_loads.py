@@ -140,7 +140,6 @@ def feed(spark, tables, late=3, extra=()):
 
 
 def referentials(spark, tables):
-    refresh.init_calendar(tables)
     places = [("1", "A", "a", "1", "CA", "dép x", "O"), ("2", "B", "a", "1", "CB", "Dep Y", "O"),
               ("3", "C", "a", "1", "CC", "dep y", "N")]
     departements = [
@@ -205,6 +204,7 @@ def test_fact_rows(loaded):
 
 
 def test_keys_refer_to_members_and_are_unique(loaded):
+    refresh.init_calendar(loaded)
     keys = {"stop_station_tk": ("dwh/d_station", "tk_station"),
             "line_tk": ("dwh/d_line", "tk_line"), "vehicule_tk": ("dwh/d_vehicule", "tk_vehicule"),
             "expected_arrival_date_tk": ("dwh/d_date", "tk_date"),
