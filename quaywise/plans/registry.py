@@ -199,7 +199,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(tables: Tables, path: str) -> None:
         rows = messages.trip_messages(tables["dsa/trips"], tables["dsa/stops"])
-        rows.select("value").write.text(path)
+        rows.select("value").write.text(path, compression="gzip")
 
     return spark.read.text(_landing(spark, sf_dir, "messages", write))
 
@@ -273,7 +273,7 @@ def _stream(
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     checkpoint = scratch_path(spark, "checkpoint")
     for feed in feeds:
-        feed.select("value").write.mode("append").text(landing)
+        feed.select("value").write.mode("append").text(landing, compression="gzip")
         streams.drain(read(streams.file_messages(spark, landing)), sink(root), checkpoint)
     return root
 
@@ -283,15 +283,19 @@ def _with_bad_lines(feed: DataFrame) -> DataFrame:
     return feed.unionByName(feed.select(F.concat(F.lit("{"), F.col("value")).alias("value")))
 
 
+def _appended(spark: SparkSession, sf_dir: str) -> str:
+    def run() -> str:
+        return _stream(spark, streams.append_batch, [_with_bad_lines(_messages(spark, sf_dir))])
+
+    return _once(spark, sf_dir, "appended", run)
+
+
 def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _with_bad_lines(_messages(spark, sf_dir))
-    root = _stream(spark, streams.append_batch, [feed])
-    return spark.read.parquet(f"{root}/stops").drop("batch")
+    return spark.read.parquet(f"{_appended(spark, sf_dir)}/stops").drop("batch")
 
 
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _with_bad_lines(_messages(spark, sf_dir))
-    root = _stream(spark, streams.append_batch, [feed])
+    root = _appended(spark, sf_dir)
     # a very long trip comes in several messages: trips are counted
     trip_id = F.regexp_extract("value", '"trip_id":"([^"]+)"', 1)
     good = spark.read.parquet(f"{root}/trips").agg(F.count_distinct("trip_id").alias("nb_trips"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -58,3 +60,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the scratch root; nothing is created here."""
     app = spark.sparkContext.applicationId
     return f"{scratch_root(spark)}/quaywise/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` written below the scratch root and read back.
+
+    For tables that are replaced by rows derived from them: a folder must not be
+    overwritten by a plan that still reads it. The copy is removed at the end.
+    """
+    spark = rows.sparkSession
+    folder = scratch_path(spark, "staged")
+    rows.write.parquet(folder)
+    try:
+        yield spark.read.schema(rows.schema).parquet(folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

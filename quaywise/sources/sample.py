@@ -293,7 +293,7 @@ def write_journeys(rows: DataFrame, path: str) -> None:
     """XML files, each a document of its own below one root element."""
     rows.write.format("xml").option("rowTag", ROW_TAG).option(
         "rootTag", "EstimatedJourneyVersionFrame"
-    ).save(path)
+    ).option("compression", "gzip").save(path)
 
 
 def forecast(ods_trips: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quaywise import schemas
-from quaywise.session import scratch_path
+from quaywise.session import staged
 
 
 class Tables:
@@ -67,19 +67,12 @@ class Tables:
         self._write(name, rows, "overwrite")
 
     def reload_from_itself(self, name: str, rows: DataFrame) -> None:
-        """Like :meth:`reload` for rows that were derived from the table.
-
-        The new rows are written next to the table first: a folder must not be
-        overwritten by the plan that still reads it.
-        """
-        staged = scratch_path(self.spark, "staged")
-        self._shaped(name, rows).write.parquet(staged)
-        columns, _ = schemas.TABLES[name]
-        self.reload(name, self.spark.read.schema(columns).parquet(staged))
+        """Like :meth:`reload` for rows that were derived from the table."""
+        with staged(rows) as copy:
+            self.reload(name, copy)
 
     def compact_days(self, name: str, days: list[int] | list[str]) -> None:
         """Rewrite some day partitions, after many small appends, into few files."""
-        columns, partitions = schemas.TABLES[name]
-        staged = scratch_path(self.spark, "staged")
-        self.read(name).where(F.col(partitions[0]).isin(*days)).write.parquet(staged)
-        self.replace_days(name, self.spark.read.schema(columns).parquet(staged))
+        _, partitions = schemas.TABLES[name]
+        with staged(self.read(name).where(F.col(partitions[0]).isin(*days))) as copy:
+            self.replace_days(name, copy)
