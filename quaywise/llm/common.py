@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
     """The batches cut into runs of rows with about ``SLICE_BYTES`` of text."""
     for batch in batches:
         start = size = 0
-        lengths = pa.compute.binary_length(batch.column(text)).to_pylist()
+        lengths = pc.binary_length(batch.column(text)).to_pylist()
         for i, length in enumerate(lengths):
             size += length or 0
             if size >= SLICE_BYTES:
