@@ -51,14 +51,14 @@ def byte_texts(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows with about ``SLICE_BYTES`` of text."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about ``most`` bytes of text."""
     for batch in batches:
         start = size = 0
         lengths = pc.binary_length(batch.column(text)).to_pylist()
         for i, length in enumerate(lengths):
             size += length or 0
-            if size >= SLICE_BYTES:
+            if size >= most:
                 yield batch.slice(start, i + 1 - start)
                 start, size = i + 1, 0
         if start < batch.num_rows:
