@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaywise.session import scratch_path
 
@@ -46,6 +47,11 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def with_fields(rows: DataFrame, **fields: T.DataType) -> T.StructType:
+    """The schema of ``rows`` with more fields at its end."""
+    return T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
+
+
 def byte_texts(column: pa.Array) -> pa.Array:
     """A string column as UTF-8 bytes, without a copy for each value."""
     return column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quaywise.llm.common import byte_texts, remainder, slices, table
+from quaywise.llm.common import byte_texts, remainder, slices, table, with_fields
 
 UNKNOWN = "und"
 #: Bounds of the training rows.
@@ -297,8 +298,7 @@ def predicted(rows: DataFrame, model: Model | None) -> DataFrame:
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
 
-    schema = rows.schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, with_fields(rows, lang_pred=T.StringType(), score=T.DoubleType()))
 
 
 def identify(docs: DataFrame) -> DataFrame:

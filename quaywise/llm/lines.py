@@ -75,8 +75,8 @@ def later_places(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "row_hash").agg(F.collect_set("k").alias("ks"))
 
 
-def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with later places of repeated windows cut out of ``text``.
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with later places of repeated windows cut out of their ``text``.
 
     A null text stays null; an empty one stays empty. Rows that are repeated
     with the same id, text, language and source count as one place and stay
@@ -90,10 +90,9 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), _row_hash(docs).alias("row_hash"))
     joined = docs.join(later, key.eqNullSafe(F.col("__key")), "left")
-    return joined.withColumn("text", cut("text", "__ks")).select(*docs.columns)
+    return joined.withColumn("text", F.pandas_udf(cut, "string")("text", "__ks")).select(*docs.columns)
 
 
-@F.pandas_udf("string")
 def cut(texts: pd.Series, places: pd.Series) -> pd.Series:
     """Texts without the lines of the given windows."""
     return pd.Series([without(t, ks) for t, ks in zip(texts, places, strict=True)], dtype=object)
@@ -120,22 +119,22 @@ def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
-line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at FROM split),
+line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM split),
 trimmed AS (
-  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS real FROM line),
+  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM line),
 numbered AS (
-  SELECT doc_id, at, real, row_number() OVER (PARTITION BY doc_id ORDER BY at) - 1 AS k
-  FROM trimmed WHERE real <> ''),
+  SELECT doc_id, pos, body, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS k
+  FROM trimmed WHERE body <> ''),
 windows AS (
-  SELECT doc_id, k, real AS one, lead(real) OVER w AS two, lead(real, 2) OVER w AS three
+  SELECT doc_id, k, body AS one, lead(body) OVER w AS two, lead(body, 2) OVER w AS three
   FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
 places AS (
   SELECT doc_id, k, row_number() OVER (PARTITION BY one, two, three ORDER BY doc_id, k) AS nth
   FROM windows WHERE three IS NOT NULL),
 dead AS (SELECT DISTINCT doc_id, k + d AS k FROM places, range(3) AS r(d) WHERE nth > 1),
 kept AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY at) AS text
-  FROM trimmed LEFT JOIN numbered USING (doc_id, at)
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+  FROM trimmed LEFT JOIN numbered USING (doc_id, pos)
   WHERE numbered.k IS NULL OR NOT EXISTS (FROM dead WHERE dead.doc_id = trimmed.doc_id AND dead.k = numbered.k)
   GROUP BY doc_id)
 SELECT doc_id, CASE WHEN documents.text IS NOT NULL THEN coalesce(kept.text, '') END AS text

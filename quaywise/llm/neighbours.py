@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quaywise.llm.common import stored, table
+from quaywise.llm.common import stored, table, with_fields
 
 NEAREST = 10
 QUERY_STEP = 100
@@ -155,7 +156,7 @@ def listed(rows: DataFrame, g: Graph, keep: int, ratio: float) -> DataFrame:
                     [*taken.columns, pa.array(found.astype("i4"))], names=[*taken.schema.names, "list"]
                 )
 
-    return rows.mapInArrow(run, rows.schema.add("list", "int"))
+    return rows.mapInArrow(run, with_fields(rows, list=T.IntegerType()))
 
 
 def closest(queries: np.ndarray, entries: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -206,7 +207,7 @@ def search(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     share = min(1.0, 1.5 * SAMPLE / n)
     sample = entries.where(F.pmod("a", F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).orderBy("a", "b").limit(SAMPLE)
-    fitted = np.array([r.vector for r in sample.select("vector").toLocalIterator()])
+    fitted = matrix(sample.select("vector").toArrow().column("vector").combine_chunks())
     lists = max(1, min(MAX_LISTS, n // LIST_ROWS, len(fitted) // 4))
     g = graph(fit(fitted, lists))
 

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from quaywise.llm.common import slices, table
 
 MARK = "▁"
-_LETTERS = r"[^\W\d_]"
+#: Letters, by exclusion of other word characters; raised digits are among those.
+_LETTERS = r"[^\W\d_\u00b2\u00b3\u00b9]"
 STRETCH = re.compile(rf"{MARK}*{_LETTERS}+|{MARK}*(?:(?!{_LETTERS})[^{MARK}])+|{MARK}+", re.DOTALL)
 #: Stretches and pairs of pieces whose results a worker keeps.
 KEPT_STRETCHES, KEPT_PAIRS = 400_000, 1_000_000
@@ -81,7 +82,7 @@ class Transducer:
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(size) if given.is_byte(i)}
         self.unknown = given.unk_id()
         self.raw = {i: bytes([b]) for b, i in self.bytes.items()}
-        self.longest = max(map(len, self.ids), default=1)
+        self.prefixes = {x[:k] for x in self.ids for k in range(1, len(x) + 1)}
         self.split = all(len(STRETCH.findall(x)) == 1 for x in self.ids)
         self.text = [x.replace(MARK, " ") if x in self.ids else "" for x in self.pieces]
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -94,43 +95,47 @@ class Transducer:
     def merged(self, text: str) -> list[str]:
         """The vocabulary's result for a short text: the best neighbours join until none can, leftmost first."""
         parts, priority = list(text), self.priority
-        while len(parts) > 1:
-            joined = [parts[k] + parts[k + 1] for k in range(len(parts) - 1)]
-            best = max(range(len(joined)), key=lambda k: (priority.get(joined[k], -np.inf), -k))
-            if joined[best] not in priority:
-                break
-            parts[best : best + 2] = [joined[best]]
-        return parts
+        while True:
+            best, at = -np.inf, -1
+            for k in range(len(parts) - 1):
+                found = priority.get(parts[k] + parts[k + 1])
+                if found is not None and found > best:
+                    best, at = found, k
+            if at < 0:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def follows(self, last: str, piece: str) -> bool:
         """Whether the arc of ``piece`` has weight 0 after ``last``."""
-        if last == UNKNOWN:
-            return self.whole[piece]
-        key = last, piece
-        if (found := self.pairs.get(key)) is None:
-            found = self.whole[piece] and self.merged(last + piece) == [last, piece]
-            if len(self.pairs) < KEPT_PAIRS:
-                self.pairs[key] = found
+        found = self.whole[piece] and (last == UNKNOWN or self.merged(last + piece) == [last, piece])
+        if len(self.pairs) < KEPT_PAIRS:
+            self.pairs[last, piece] = found
         return found
 
     def shortest(self, text: str) -> list[int]:
         """Ids on the shortest path through the composition with ``text``."""
-        ids, follows = self.ids, self.follows
+        ids, prefixes, pairs, n = self.ids, self.prefixes, self.pairs, len(text)
         # at each position: last piece -> (weight, position and last piece before)
-        states: list[dict[str, tuple[int, int, str]]] = [{UNKNOWN: (0, -1, UNKNOWN)}]
-        for end in range(1, len(text) + 1):
-            here: dict[str, tuple[int, int, str]] = {}
-            for start in range(max(0, end - self.longest), end):
-                piece = text[start:end]
-                if piece in ids:
-                    for last, (weight, _, _) in states[start].items():
-                        if follows(last, piece) and (piece not in here or weight < here[piece][0]):
-                            here[piece] = weight, start, last
-            if text[end - 1] not in ids:
-                weight, last = min((w, x) for x, (w, _, _) in states[end - 1].items())
-                here[UNKNOWN] = weight + 1, end - 1, last
-            states.append(here)
-        end, out = len(text), []
+        states: list[dict[str, tuple[int, int, str]]] = [{} for _ in range(n + 1)]
+        states[0][UNKNOWN] = (0, -1, UNKNOWN)
+        for start in range(n):
+            here = states[start]
+            for last, (weight, _, _) in here.items():
+                for end in range(start + 1, n + 1):
+                    piece = text[start:end]
+                    if piece not in prefixes:
+                        break
+                    if piece not in ids:
+                        continue
+                    zero = pairs.get((last, piece))
+                    if zero is None:
+                        zero = self.follows(last, piece)
+                    if zero and (piece not in states[end] or weight < states[end][piece][0]):
+                        states[end][piece] = weight, start, last
+            if text[start] not in ids:
+                weight, last = min((w, x) for x, (w, _, _) in here.items())
+                states[start + 1][UNKNOWN] = weight + 1, start, last
+        end, out = n, []
         last = min(states[end], key=lambda x: states[end][x][0])
         while end:
             _, start, before = states[end][last]

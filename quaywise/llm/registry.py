@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaywise.llm import chat, packing
+from quaywise.llm import chat, langid, lines, neighbours, ngrams, packing, pieces, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mcd_outliers": quality.op1_mcd_outliers,
         "op2_chat_tokens": chat.op2_chat_tokens,
+        "op3_line_windows": lines.op3_line_windows,
+        "op4_piece_transducer": pieces.op4_piece_transducer,
+        "op5_byte_birnn": langid.op5_byte_birnn,
+        "op7_simhash_grid": simhash.op7_simhash_grid,
         "op8_pack_ffd": packing.op8_pack_ffd,
+        "op9_kneser_ney": ngrams.op9_kneser_ney,
+        "op10_posting_lists": neighbours.op10_posting_lists,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_tokens": chat.ORACLE}
+    """SQL of the queries that SQL can express."""
+    return {"op2_chat_tokens": chat.ORACLE, "op3_line_windows": lines.ORACLE}

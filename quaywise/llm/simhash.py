@@ -18,15 +18,15 @@ cells are joined to components by alternating star contractions.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quaywise.llm.common import byte_texts, slices, stored, table
+from quaywise.llm.common import byte_texts, slices, stored, table, with_fields
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -76,8 +76,7 @@ def fingerprints(docs: DataFrame, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found.view("i8"))], names=[key, "fp"])
 
     rows = docs.select(key, "text")
-    schema = rows.select(key).schema.add("fp", "long")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, with_fields(rows.select(key), fp=T.LongType()))
 
 
 def ball(dimensions: int, radius: int) -> np.ndarray:
