@@ -83,14 +83,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     alike. Rows without id lose to all others and are told apart by their
     texts. A document that repeats throughout keeps its white-space lines, or
     is left empty. An empty table gives no rows. All columns are kept as they
-    are.
+    are, but for ``n_chars``, which follows a text that was cut.
     """
     later = later_places(docs).select(
         F.struct("doc_id", "row_hash").alias("__key"), F.col("ks").alias("__ks")
     )
     key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), _row_hash(docs).alias("row_hash"))
     joined = docs.join(later, key.eqNullSafe(F.col("__key")), "left")
-    return joined.withColumn("text", F.pandas_udf(cut, "string")("text", "__ks")).select(*docs.columns)
+    cleaned = joined.withColumn("text", F.pandas_udf(cut, "string")("text", "__ks"))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__ks").isNull(), F.col("n_chars")).otherwise(length))
+    return cleaned.select(*(f"`{c}`" for c in docs.columns))
 
 
 def cut(texts: pd.Series, places: pd.Series) -> pd.Series:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaywise.llm import chat, langid, lines, neighbours, ngrams, packing, pieces, quality, simhash
+from quaywise.llm import chat, html, langid, lines, neighbours, ngrams, packing, pieces, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op3_line_windows": lines.op3_line_windows,
         "op4_piece_transducer": pieces.op4_piece_transducer,
         "op5_byte_birnn": langid.op5_byte_birnn,
+        "op6_html_layout": html.op6_html_layout,
         "op7_simhash_grid": simhash.op7_simhash_grid,
         "op8_pack_ffd": packing.op8_pack_ffd,
         "op9_kneser_ney": ngrams.op9_kneser_ney,

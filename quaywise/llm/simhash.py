@@ -277,7 +277,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     # the key stands in for the id, so that groups are of rows
     groups = near_rows(keyed.select("__key", "text"), "__key")
     first = groups.groupBy("component").agg(F.min("__key").alias("__key")).select("__key")
-    return keyed.join(first, "__key").dropDuplicates(["__key"]).select(*docs.columns)
+    return keyed.join(first, "__key").dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns))
 
 
 def op7_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
