@@ -7,79 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_GROUP_ROWS = 1_000_000
-SLICES = 200
-BROADCAST_KEYS = 10_000
-
 
 def with_previous(
-    rows: DataFrame,
-    key: str,
-    order: Sequence[Column],
-    spread: Column,
-    value: str,
-    out: str,
-    hot_rows: int = HOT_GROUP_ROWS,
+    rows: DataFrame, key: str, order: Sequence[Column], span: Column, value: str, out: str
 ) -> DataFrame:
     """Add ``out``: ``value`` of the row before, within ``key`` by ``order``.
 
-    ``spread`` is a bigint that never decreases along ``order``. Groups above
-    ``hot_rows`` rows are cut into slices at quantiles of ``spread``; each slice
-    is one window group, and the first row of a slice takes its value from the
-    end of the slice before. Every cut keeps the order, so the result does not
-    depend on where the cuts fall. Without such a group this is a plain window.
+    ``order`` is ascending columns without NULLs; rows equal in all of them
+    follow by ``value``. ``span`` is a number that must be the same or larger
+    for a row that comes later in ``order``, such as the minute of a time that
+    leads it. A group is worked on span by span, at any size: the first row of
+    a span takes its value from the last row of the span before.
     """
-    hot = rows.groupBy(key).count().where(F.col("count") > hot_rows).select(key)
-    # at most total rows / hot_rows keys; only their number comes to the driver
-    n_hot = hot.count()
-    if not n_hot:
-        window = Window.partitionBy(key).orderBy(*order)
-        return rows.withColumn(out, F.lag(value).over(window))
-
-    small = F.broadcast if n_hot <= BROADCAST_KEYS else (lambda frame: frame)
-    cuts = (
-        rows.join(small(hot), key, "left_semi")
-        .groupBy(key)
-        .agg(
-            F.percentile_approx(
-                spread, [i / SLICES for i in range(1, SLICES)], F.lit(SLICES * 10)
-            ).alias("_cuts")
-        )
-    )
-    sliced = (
-        rows.withColumn("_spread", spread)
-        .join(small(cuts), key, "left")
-        .withColumn(
-            "_slice",
-            F.coalesce(
-                F.size(F.filter("_cuts", lambda cut: cut <= F.col("_spread"))), F.lit(0)
-            ),
-        )
-        .drop("_cuts")
+    in_order = [*order, F.col(value)]
+    spans = rows.withColumn("_span", span)
+    in_span = Window.partitionBy(key, "_span").orderBy(*in_order)
+    local = spans.withColumn("_local", F.lag(F.struct(F.col(value))).over(in_span))
+    # combined before the shuffle; then one row for each span of a group
+    last = spans.groupBy(key, "_span").agg(
+        F.max(F.struct(*[c.alias(f"_{k}") for k, c in enumerate(in_order)])).alias("_last")
     )
-    # size(NULL) is -1 or NULL by setting; both mean "not cut"
-    sliced = sliced.withColumn("_slice", F.greatest("_slice", F.lit(0)))
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = sliced.withColumn("_local", F.lag(F.struct(F.col(value))).over(in_slice))
-
-    backwards = Window.partitionBy(key, "_slice").orderBy(*[_reverse(c) for c in order])
-    ends = (
-        sliced.join(small(hot), key, "left_semi")
-        .withColumn("_from_end", F.row_number().over(backwards))
-        .where(F.col("_from_end") == 1)
-        .select(key, "_slice", F.struct(F.col(value)).alias("_end"))
+    carried = last.select(
+        key,
+        "_span",
+        F.lag(F.struct(F.col(f"_last._{len(order)}").alias(value)))
+        .over(Window.partitionBy(key).orderBy("_span"))
+        .alias("_carried"),
     )
-    # one row for each slice of a hot key
-    carried = ends.withColumn(
-        "_carry", F.lag("_end").over(Window.partitionBy(key).orderBy("_slice"))
-    ).select(key, "_slice", "_carry")
     return (
-        local.join(carried, [key, "_slice"], "left")
-        .withColumn(out, F.coalesce("_local", "_carry").getField(value))
+        local.join(carried, [key, "_span"], "left")
+        .withColumn(out, F.coalesce("_local", "_carried").getField(value))
         .select(*rows.columns, out)
     )
-
-
-def _reverse(column: Column) -> Column:
-    """``order`` is given as plain ascending columns, NULLs already coded away."""
-    return column.desc()

@@ -21,9 +21,6 @@ ALL = "-2"
 LINE_DAYS = 14
 PUNCTUAL_PERCENT = 90
 
-# Texts of the departure board.
-RUNNING, ON_TIME, NO_STATUS = "En cours", "À l’heure", "Indéterminé"
-STATUS_TEXT = {"PREVU": "À venir", "TERMINE": "Terminé"}
 
 
 def _only(rows: DataFrame, column: str, value: int | str | None) -> DataFrame:
@@ -408,6 +405,20 @@ def station_deltas(tables: Tables, as_of: datetime, station: int | None = None)
 # --- departure board -------------------------------------------------------
 
 
+def board_status() -> Column:
+    """What the board says of a stop's train."""
+    status, delay = F.col("status_journey"), F.col("delay_arrival_minutes")
+    # fixed values: the texts of the board
+    return (
+        F.when((status == "EN_COURS") & delay.isNull(), "En cours")
+        .when((status == "EN_COURS") & (delay <= 1), "À l’heure")
+        .when(status == "EN_COURS", F.concat(F.lit("Retard "), delay.cast("string"), F.lit(" min")))
+        .when(status == "PREVU", "À venir")
+        .when(status == "TERMINE", "Terminé")
+        .otherwise("Indéterminé")
+    )
+
+
 def departure_board(
     tables: Tables,
     as_of: datetime,
@@ -447,14 +458,7 @@ def departure_board(
             F.col("tk_station").alias(key), F.col("station_name").alias(name)
         )
 
-    delay, departure = F.col("delay_arrival_minutes"), F.col("expected_departure")
-    minutes_late = F.format_string("Retard %d min", delay)
-    running = F.when(delay > 1, minutes_late).when(delay.isNotNull(), ON_TIME).otherwise(RUNNING)
-    others = F.create_map(*[F.lit(x) for pair in STATUS_TEXT.items() for x in pair])
-    status = F.col("status_journey")
-    shown_status = F.when(status == "EN_COURS", running).otherwise(
-        F.coalesce(others[status], F.lit(NO_STATUS))
-    )
+    departure = F.col("expected_departure")
     stops = (
         realtime.where(departure.isNotNull())
         .select(
@@ -478,7 +482,7 @@ def departure_board(
             .otherwise(from_elsewhere)
             .alias("gare_depart"),
             F.col("dest_name").alias("gare_arrivee"),
-            shown_status.alias("statut"),
+            board_status().alias("statut"),
             F.date_format(departure, "HH:mm").alias("heure_depart"),
         )
         .distinct()

@@ -18,7 +18,7 @@ from quaywise.functions.numbers import (
 )
 from quaywise.operators.distinct import entities, per_entity
 from quaywise.operators.merge import rows_to_insert
-from quaywise.operators.previous import HOT_GROUP_ROWS, with_previous
+from quaywise.operators.previous import with_previous
 
 LATE_MINUTES = 5
 # Stops and trips grow together: neither side is ever broadcast, however small
@@ -152,16 +152,18 @@ def new_trip_stops(candidates: DataFrame, target: DataFrame, since: date | None)
 
 
 def reach(f_trips: DataFrame, stored: DataFrame, since: date | None) -> DataFrame:
-    """For each day of ``f_trips`` the last day one of its stops arrives or departs.
+    """For each day of ``f_trips`` the first and last days one of its stops arrives or departs.
 
     Only the days being loaded are read again; older days keep what is stored.
     """
     if since is not None:
         f_trips = f_trips.where(F.col("ref_date_tk") >= times.key_of(since))
+    known = F.nullif(F.col("expected_departure_date_tk"), F.lit(times.UNKNOWN_KEY))
     loaded = f_trips.select(
         "ref_date_tk",
         F.col("expected_arrival_date_tk").alias("last_arrival_tk"),
         F.col("expected_departure_date_tk").alias("last_departure_tk"),
+        known.alias("first_departure_tk"),
     )
     return (
         loaded.unionByName(stored)
@@ -169,20 +171,37 @@ def reach(f_trips: DataFrame, stored: DataFrame, since: date | None) -> DataFram
         .agg(
             F.max("last_arrival_tk").alias("last_arrival_tk"),
             F.max("last_departure_tk").alias("last_departure_tk"),
+            F.min("first_departure_tk").alias("first_departure_tk"),
         )
     )
 
 
+def _without_days(f_trips: DataFrame, stored: DataFrame, settled: Column) -> DataFrame:
+    """``f_trips`` without the partitions of ``settled`` days.
+
+    A day that is not in the stored reach is kept. The list has at most one
+    entry for each day of the calendar.
+    """
+    days = [row[0] for row in stored.where(settled).select("ref_date_tk").collect()]
+    return f_trips.where(~F.col("ref_date_tk").isin(*days)) if days else f_trips
+
+
 def reaching(f_trips: DataFrame, stored: DataFrame, last: str, lowest: int) -> DataFrame:
     """``f_trips`` without the days known to end before day ``lowest``.
 
     Metrics select stops by their arrival, which says nothing about the
-    partition. This prunes partitions that cannot hold such a stop; a day that
-    is not in the stored reach is kept. The list has at most one entry for each
-    day of the calendar.
+    partition. This prunes partitions that cannot hold such a stop.
     """
-    settled = [row[0] for row in stored.where(F.col(last) < lowest).select("ref_date_tk").collect()]
-    return f_trips.where(~F.col("ref_date_tk").isin(*settled)) if settled else f_trips
+    return _without_days(f_trips, stored, F.col(last) < lowest)
+
+
+def overlapping(f_trips: DataFrame, stored: DataFrame, first: int, last: int) -> DataFrame:
+    """``f_trips`` without the days none of whose stops can arrive on day ``first``
+    or later and depart on day ``last`` or before."""
+    outside = (F.col("last_arrival_tk") < first) | (
+        F.coalesce("first_departure_tk", F.lit(99991231)) > last
+    )
+    return _without_days(f_trips, stored, outside)
 
 
 def journeys(
@@ -385,22 +404,12 @@ def _with_region(rows: DataFrame, d_station: DataFrame, departements: DataFrame)
     return rows.join(regions, "stop_station_tk")
 
 
-_SECONDS_PER_DAY = 86_400
-
-
-def _spread(date_column: Column, seconds: Column) -> Column:
-    """A number that rises with (time, station), missing times last."""
-    station = F.least("stop_station_tk", F.lit(2**31 - 1).cast("bigint"))
-    since_start = F.date_diff(date_column, F.lit("2000-01-01").cast("date")).cast("bigint")
-    moment = (since_start * _SECONDS_PER_DAY + seconds) * F.lit(2**31).cast("bigint")
-    return F.coalesce(moment + station, F.lit(2**62).cast("bigint") + F.col("stop_station_tk"))
+#: Minutes of stops without a time, which come after all others.
+_NO_TIME = 2**62
 
 
 def delay_steps_realtime(
-    f_realtime: DataFrame,
-    d_station: DataFrame,
-    departements: DataFrame,
-    hot_rows: int = HOT_GROUP_ROWS,
+    f_realtime: DataFrame, d_station: DataFrame, departements: DataFrame
 ) -> DataFrame:
     """Delay at each stop and at the stop before, over the snapshot.
 
@@ -411,7 +420,9 @@ def delay_steps_realtime(
     rows = _with_region(f_realtime, d_station, departements).where(
         F.col("delay_arrival_minutes").isNotNull()
     )
-    seconds = F.hour(arrival) * 3600 + F.minute(arrival) * 60 + F.second(arrival)
+    day = F.date_diff(arrival.cast("date"), F.lit("2000-01-01").cast("date")).cast("bigint")
+    minute = day * 1440 + F.hour(arrival) * 60 + F.minute(arrival)
+    never = F.lit(datetime(1, 1, 1)).cast("timestamp_ntz")
     stepped = with_previous(
         rows.select(
             "trip_id", "region_station", "stop_station_tk", "expected_arrival",
@@ -419,13 +430,12 @@ def delay_steps_realtime(
         ),
         "trip_id",
         [
-            arrival.isNull(), arrival, F.col("stop_station_tk"),
-            F.col("departure_time_journey"),
+            arrival.isNull(), F.coalesce(arrival, never), F.col("stop_station_tk"),
+            F.coalesce("departure_time_journey", never),
         ],
-        _spread(arrival.cast("date"), seconds),
+        F.coalesce(minute, F.lit(_NO_TIME).cast("bigint")),
         "delay_arrival_minutes",
         "prev_delay",
-        hot_rows,
     )
     return stepped.select(
         "trip_id",
@@ -445,7 +455,6 @@ def delay_steps_history(
     departements: DataFrame,
     as_of: datetime,
     days: int = HISTORY_DAYS,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """The same over the stored facts of the last days, for stops with an arrival
     and a departure time."""
@@ -461,19 +470,15 @@ def delay_steps_history(
         "expected_arrival_time_tk", "ref_date_tk", "delay_arrival_minutes",
     )
     hour = F.call_function("div", time_tk, F.lit(10000)).cast("int")
-    minute = F.call_function("div", time_tk % 10000, F.lit(100)).cast("int")
+    to_minute = F.call_function("div", time_tk, F.lit(100))
     arrival_date = times.key_to_date(date_tk)
     stepped = with_previous(
         rows,
         "trip_id",
         [date_tk, time_tk, F.col("stop_station_tk"), F.col("ref_date_tk")],
-        _spread(
-            F.coalesce(arrival_date, times.day(date(2000, 1, 1))),
-            hour * 3600 + minute * 60 + time_tk % 100,
-        ),
+        date_tk.cast("bigint") * 10000 + to_minute,
         "delay_arrival_minutes",
         "prev_delay",
-        hot_rows,
     )
     return stepped.select(
         "trip_id",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import RandomForestRegressor
@@ -16,6 +15,8 @@ from quaywise.functions import times
 from quaywise.operators.distinct import entities, per_entity
 from quaywise.operators.hours import hour_spine, spread_hours
 from quaywise.operators.merge import pick_one
+from quaywise.plans import facts
+from quaywise.session import scratch_path
 from quaywise.sources.objects import write_daily
 from quaywise.sources.tables import Tables
 
@@ -36,6 +37,7 @@ LABEL = "nb_trains_actifs"
 # The model's parameters.
 TREES, DEPTH, SEED, TRAIN_SHARE = 200, 10, 42, 0.8
 
+METRICS = ("mse", "rmse", "mae", "r2")
 METADATA = """
     model_name string, trained_until timestamp_ntz, mse double, rmse double, mae double,
     r2 double, n_rows bigint, features array<string>, created_at timestamp_ntz
@@ -83,7 +85,8 @@ def training_set(tables: Tables, first: datetime, last: datetime) -> DataFrame:
     after its start; stops without both times never count.
     """
     lo, hi = times.key_of(first.date()), times.key_of(last.date())
-    stops = tables["dwh/f_trips"].where(
+    days = facts.overlapping(tables["dwh/f_trips"], tables["dwh/f_trips_reach"], lo, hi)
+    stops = days.where(
         # implied by the overlap with the window; these reach the Parquet scan
         (F.col("expected_arrival_date_tk") >= lo)
         & (F.col("expected_departure_date_tk") <= hi)
@@ -163,31 +166,53 @@ def _numeric(rows: DataFrame) -> DataFrame:
     )
 
 
-def fit(rows: DataFrame, created_at: datetime) -> tuple[PipelineModel, DataFrame]:
-    """Model and its one metadata row, from the stored hourly training sets.
+def _hours(rows: DataFrame) -> DataFrame:
+    """One row for each hour, with the model's inputs; stored, as it is read several times.
 
-    ``rows`` is read several times, so it should come from storage. It has one
-    row for each hour of the calendar at most.
+    There are as many rows as hours of the calendar at most.
     """
-    spark = rows.sparkSession
     hours = unique_hours(rows).withColumn("hour", F.hour("hour_start"))
     hours = _numeric(hours).withColumn("label", F.col(LABEL).cast("double"))
+    folder = scratch_path(rows.sparkSession, "hours")
+    hours.write.parquet(folder)
+    return rows.sparkSession.read.schema(hours.schema).parquet(folder)
+
+
+def errors(scored_rows: DataFrame) -> DataFrame:
+    """All metrics in one aggregate over labels and predictions."""
+    label, miss = F.col("label"), F.col("label") - F.col("prediction")
+    squares, n = F.sum(miss * miss), F.count(F.lit(1))
+    around_mean = F.sum(label * label) - n * F.pow(F.avg(label), 2)
+    return scored_rows.agg(
+        (squares / n).alias("mse"),
+        F.sqrt(squares / n).alias("rmse"),
+        F.avg(F.abs(miss)).alias("mae"),
+        (1 - squares / around_mean).alias("r2"),
+    )
+
+
+def scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Labels and predictions of the newest part of the training sets."""
+    _, test = split_by_time(_hours(rows))
+    return model.transform(test).select("hour_start", "label", "prediction")
+
+
+def fit(rows: DataFrame, created_at: datetime) -> tuple[PipelineModel, DataFrame]:
+    """Model and its one metadata row, from the stored hourly training sets."""
+    spark = rows.sparkSession
+    hours = _hours(rows)
     train, test = split_by_time(hours)
     forest = RandomForestRegressor(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="all"
     )
     assembler = VectorAssembler(inputCols=[f"x_{c}" for c in FEATURES], outputCol="features")
     model = Pipeline(stages=[assembler, forest]).fit(train)
-    scored = model.transform(test)
-
-    def score(name: str) -> float:
-        return RegressionEvaluator(metricName=name).evaluate(scored)
-
+    found = errors(model.transform(test)).first()
     bounds = hours.agg(F.max("hour_start").alias("last"), F.count(F.lit(1)).alias("n")).first()
     until = train.agg(F.max("hour_start")).first()[0]
     row = (
-        f"nb_trains_model_{bounds['last']:%Y-%m-%d}", until, score("mse"), score("rmse"),
-        score("mae"), score("r2"), bounds["n"], list(FEATURES), created_at,
+        f"nb_trains_model_{bounds['last']:%Y-%m-%d}", until, *(found[m] for m in METRICS),
+        bounds["n"], list(FEATURES), created_at,
     )
     return model, spark.createDataFrame([row], METADATA)
 

@@ -20,6 +20,10 @@ from quaywise.plans import dims, facts, ods
 from quaywise.sources.tables import Tables
 
 
+#: Days for which a stored stop keeps its (trip, name) from being added again.
+KNOWN_DAYS = 30
+
+
 @dataclass(frozen=True)
 class Window:
     """How far back each load reaches; None stands for all days."""
@@ -35,14 +39,15 @@ class Window:
     known: date | None = None
 
     @classmethod
-    def rolling(cls, as_of: datetime, known_days: int | None = None) -> Window:
+    def rolling(cls, as_of: datetime, known_days: int | None = KNOWN_DAYS) -> Window:
         """The windows of the periodic refresh.
 
         New stops run on these days, so no other day can bring a new station
         name; after a reload of the station referential run
-        ``refresh_dims(tables, Window.history())`` once. Trip ids that contain
-        their date never come back: there ``known_days`` of a few days gives the
-        same result and spares the scan of the old days.
+        ``refresh_dims(tables, Window.history())`` once. Trip ids contain their
+        date and do not come back after ``known_days``, so older days of stops
+        are not opened; for feeds that use their ids again for longer, give a
+        larger number, or None to compare with the whole history.
         """
         return cls(
             trips=days_before(as_of, 0),
@@ -161,6 +166,7 @@ def refresh_facts(tables: Tables, as_of: datetime, window: Window) -> None:
     def trip_stops() -> None:
         rows = facts.trip_stops(stops, trips, *members, since)
         tables.append("dwh/f_trips", facts.new_trip_stops(rows, tables["dwh/f_trips"], since))
+        tables.recover("dwh/f_trips_reach")
         tables.reload_from_itself(
             "dwh/f_trips_reach",
             facts.reach(tables["dwh/f_trips"], tables["dwh/f_trips_reach"], since),

@@ -9,9 +9,9 @@ from threading import RLock
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaywise.functions import calendar, times
+from quaywise.functions import times
 from quaywise.operators import merge
-from quaywise.plans import dashboard, dims, facts, forecast, kpi, ods
+from quaywise.plans import dashboard, dims, facts, forecast, kpi, ods, refresh
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 from quaywise.session import scratch_path
 from quaywise.sources import gtfs, messages, objects, sample, siri
@@ -50,29 +50,25 @@ def _named(tables: Tables, rows: DataFrame, *roles: str) -> DataFrame:
 # --- dimensions ------------------------------------------------------------
 
 
-def _d_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar attributes of every day with an order, and the orders of the day."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    days = orders.groupBy(F.col("o_orderdate").cast("date").alias("d")).agg(
-        F.count(F.lit(1)).alias("nb_orders")
-    )
-    rows = days.select(
-        *[c.alias(name) for name, c in calendar.date_attributes(F.col("d")).items()],
-        F.lit(None).cast("boolean").alias("is_public_holiday"),
-        "nb_orders",
-    )
-    flagged = dims.flag_holidays(rows, dims.public_holidays(days, "d"))
-    return flagged.drop("week_number", "season").withColumn(
-        "is_public_holiday", F.coalesce("is_public_holiday", F.lit(False))
+def _per_key(tables: Tables, key: str, out: str) -> DataFrame:
+    return tables["dwh/f_trips"].groupBy(F.col(key).alias(out)).agg(F.count(F.lit(1)).alias("nb_stops"))
+
+
+def _d_date(tables: Tables) -> DataFrame:
+    """Every day of the calendar and the unknown one, with the stops of the day."""
+    return (
+        tables["dwh/d_date"]
+        .drop("week_number", "season")
+        .join(_per_key(tables, "ref_date_tk", "tk_date"), "tk_date", "left")
+        .fillna(0, ["nb_stops"])
+        .fillna(False, ["is_public_holiday"])
     )
 
 
 def _d_time(tables: Tables) -> DataFrame:
-    """Clock attributes of every second with a stop, and the stops at that second."""
-    usage = tables["dwh/f_trips"].groupBy(F.col("expected_arrival_time_tk").alias("tk_time")).agg(
-        F.count(F.lit(1)).alias("nb_stops")
-    )
-    return tables["dwh/d_time"].join(usage, "tk_time")
+    """Every second of the day and the unknown one, with the stops at that second."""
+    usage = _per_key(tables, "expected_arrival_time_tk", "tk_time")
+    return tables["dwh/d_time"].join(usage, "tk_time", "left").fillna(0, ["nb_stops"])
 
 
 def _holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +144,43 @@ def _ods_window(tables: Tables) -> DataFrame:
     return ods.new_trips(tables["dsa/trips"], empty, times.days_before(AS_OF, 0))
 
 
+def _refresh_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each day after a periodic refresh of a warehouse that was not empty.
+
+    The first feed lacks every third train and is loaded in full; the second
+    has them all and goes through the windows of the periodic refresh.
+    """
+    source = warehouse(spark, sf_dir)
+    tables = Tables(spark, scratch_path(spark, "rolling"))
+    trips, stops = source["dsa/trips"], source["dsa/stops"]
+    early = F.substring("trip_id", 2, 20).cast("bigint") % 3 != 0
+    refresh.init_calendar(tables)
+    refresh.load_referentials(
+        tables, source["ods/stations"], source["ods/ref_departements"],
+        source["ods/station_name_corr"],
+    )
+    refresh.load_staging(tables, trips.where(early), stops.where(early))
+    refresh.run_refresh(tables, AS_OF, refresh.Window.history())
+    refresh.load_staging(tables, trips, stops)
+    refresh.run_refresh(tables, AS_OF, refresh.Window.rolling(AS_OF))
+
+    def counted(name: str, day, out: str, value=None) -> DataFrame:
+        number = F.count(F.lit(1)) if value is None else F.sum(value)
+        return tables[name].groupBy(day.alias("ref_date_tk")).agg(number.alias(out))
+
+    parts = [
+        counted("ods/trips", times.date_key(F.col("ref_date")), "nb_trips"),
+        counted("ods/stops", times.date_key(F.col("ref_date")), "nb_stops"),
+        counted("dwh/f_trips", F.col("ref_date_tk"), "nb_facts"),
+        counted("dwh/f_journey", F.col("ref_date_tk"), "nb_journeys"),
+        counted("dwh/f_line_metrics", F.col("ref_date_tk"), "nb_line_journeys", "nb_journey"),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.join(part, "ref_date_tk", "full")
+    return result.fillna(0)
+
+
 # --- feeds -----------------------------------------------------------------
 
 
@@ -199,7 +232,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def write(tables: Tables, path: str) -> None:
         rows = messages.trip_messages(tables["dsa/trips"], tables["dsa/stops"])
-        rows.select("value").write.text(path, compression="gzip")
+        rows.select("value").write.text(path)
 
     return spark.read.text(_landing(spark, sf_dir, "messages", write))
 
@@ -209,7 +242,7 @@ def _message_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gtfs_entities(tables: Tables) -> DataFrame:
-    """Decoded entities, one for each stop."""
+    """Decoded entities, one for each trip and day with the updates of all its stops."""
 
     def event(kind: str):
         seen = F.col(f"expected_{kind}")
@@ -221,20 +254,22 @@ def _gtfs_entities(tables: Tables) -> DataFrame:
             ),
         )
 
-    return tables["ods/stops"].select(
+    update = F.struct(
+        F.col("stop_name").alias("stop_id"),
+        event("arrival").alias("arrival"),
+        event("departure").alias("departure"),
+    )
+    trips = tables["ods/stops"].groupBy("trip_id", "ref_date", "production_date").agg(
+        F.array_sort(F.collect_list(update)).alias("updates")
+    )
+    return trips.select(
         F.col("trip_id").alias("id"),
         F.struct(
             F.struct(
                 F.col("trip_id"), F.date_format("ref_date", "yyyyMMdd").alias("start_date")
             ).alias("trip"),
             F.unix_seconds(F.col("production_date").cast("timestamp")).alias("timestamp"),
-            F.array(
-                F.struct(
-                    F.col("stop_name").alias("stop_id"),
-                    event("arrival").alias("arrival"),
-                    event("departure").alias("departure"),
-                )
-            ).alias("stop_time_update"),
+            F.col("updates").alias("stop_time_update"),
         ).alias("trip_update"),
     )
 
@@ -260,6 +295,23 @@ def _daily_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.unique_hours(objects.read_daily(spark, folder).drop("made_for"))
 
 
+def _objects_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose objects match a name pattern, with the trips of the day."""
+    trips = warehouse(spark, sf_dir)["ods/trips"]
+    folder = scratch_path(spark, "by-day")
+    objects.write_daily(trips.select("trip_id", "ref_date"), folder, "ref_date")
+    found = objects.read_matching(spark, folder, r"/ref_date=2024-01-1[0-4]/[^/]*\.parquet$")
+    day = F.regexp_extract("path", "ref_date=([0-9-]+)", 1).cast("date")
+    return (
+        found.where(F.length("content") > 0)
+        .select(day.alias("ref_date"))
+        .distinct()
+        .join(trips, "ref_date")
+        .groupBy("ref_date")
+        .agg(F.count(F.lit(1)).alias("nb_trips"))
+    )
+
+
 # --- streams ---------------------------------------------------------------
 
 
@@ -273,7 +325,7 @@ def _stream(
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     checkpoint = scratch_path(spark, "checkpoint")
     for feed in feeds:
-        feed.select("value").write.mode("append").text(landing, compression="gzip")
+        feed.select("value").write.mode("append").text(landing)
         streams.drain(read(streams.file_messages(spark, landing)), sink(root), checkpoint)
     return root
 
@@ -284,23 +336,37 @@ def _with_bad_lines(feed: DataFrame) -> DataFrame:
 
 
 def _appended(spark: SparkSession, sf_dir: str) -> str:
-    def run() -> str:
-        return _stream(spark, streams.append_batch, [_with_bad_lines(_messages(spark, sf_dir))])
-
-    return _once(spark, sf_dir, "appended", run)
+    return _stream(spark, streams.append_batch, [_with_bad_lines(_messages(spark, sf_dir))])
 
 
 def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_appended(spark, sf_dir)}/stops").drop("batch")
 
 
+def _stream_append_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_appended(spark, sf_dir)}/trips").drop("batch")
+
+
+def _trips_and_rejects(good: DataFrame, rejected: DataFrame, trip_in_text: str) -> DataFrame:
+    """Rows and different trips of both kinds, in one aggregate."""
+    trip_id = F.regexp_extract("value", trip_in_text, 1)
+    both = good.select("trip_id", F.lit(True).alias("good")).unionByName(
+        rejected.select(trip_id.alias("trip_id"), F.lit(False).alias("good"))
+    )
+    trips = both.groupBy("trip_id", "good").agg(F.count(F.lit(1)).alias("n"))
+    return trips.agg(
+        F.count_if("good").alias("nb_trips"),
+        F.count_if(~F.col("good")).alias("nb_rejects"),
+        F.coalesce(F.sum(F.when(F.col("good"), F.col("n"))), F.lit(0)).alias("nb_good_rows"),
+    )
+
+
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _appended(spark, sf_dir)
-    # a very long trip comes in several messages: trips are counted
-    trip_id = F.regexp_extract("value", '"trip_id":"([^"]+)"', 1)
-    good = spark.read.parquet(f"{root}/trips").agg(F.count_distinct("trip_id").alias("nb_trips"))
-    bad = spark.read.parquet(f"{root}/rejects").agg(F.count_distinct(trip_id).alias("nb_rejects"))
-    return good.crossJoin(bad)  # one row each
+    return _trips_and_rejects(
+        spark.read.parquet(f"{root}/trips"), spark.read.parquet(f"{root}/rejects"),
+        '"trip_id":"([^"]+)"',
+    )
 
 
 def _stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,39 +381,48 @@ def _stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/stops").drop("batch")
 
 
-def _stream_gtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gtfs_streamed(spark: SparkSession, sf_dir: str) -> str:
     entities = _gtfs_entities(warehouse(spark, sf_dir))
     feed = entities.select(F.to_json(F.struct("*")).alias("value"))
-    root = _stream(spark, streams.gtfs_batch, [feed], lambda messages_in: messages_in)
-    return spark.read.parquet(f"{root}/stop_updates").drop("batch")
+    return _stream(
+        spark, streams.gtfs_batch, [_with_bad_lines(feed)], lambda messages_in: messages_in
+    )
 
 
-def _upserted(spark: SparkSession, sf_dir: str) -> str:
-    """Tables after two feeds; the second, an hour newer, moves the destination."""
+def _stream_gtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_gtfs_streamed(spark, sf_dir)}/stop_updates").drop("batch")
+
+
+def _stream_gtfs_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _gtfs_streamed(spark, sf_dir)
+    return _trips_and_rejects(
+        spark.read.parquet(f"{root}/stop_updates"), spark.read.parquet(f"{root}/rejects"),
+        '"id":"([^"]+)"',
+    )
 
-    def run() -> str:
-        tables = warehouse(spark, sf_dir)
-        trips, stops = tables["dsa/trips"], tables["dsa/stops"]
-        later = times.shift_hours(F.col("production_date"), 1)
-        moved = trips.where(F.col("published_line_name") != "N/A").withColumn(
-            "dest_name", F.concat("dest_name", F.lit(" 2"))
-        )
-        second = messages.trip_messages(moved.withColumn("production_date", later), stops)
-        return _stream(
-            spark,
-            lambda folder: streams.upsert_batch(folder, buckets=8),
-            [_messages(spark, sf_dir), second],
-        )
 
-    return _once(spark, sf_dir, "upserted", run)
+def _upserted(spark: SparkSession, sf_dir: str) -> str:
+    """Tables after two feeds; the second, an hour newer, moves the destination."""
+    tables = warehouse(spark, sf_dir)
+    trips, stops = tables["dsa/trips"], tables["dsa/stops"]
+    later = times.shift_hours(F.col("production_date"), 1)
+    moved = trips.where(F.col("published_line_name") != "N/A").withColumn(
+        "dest_name", F.concat("dest_name", F.lit(" 2"))
+    )
+    second = messages.trip_messages(moved.withColumn("production_date", later), stops)
+    return _stream(
+        spark,
+        lambda folder: streams.upsert_batch(folder, buckets=2),
+        [_messages(spark, sf_dir), second],
+    )
 
 
 def _stream_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/trips").drop("bucket")
+    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/trips").drop("day", "bucket")
 
 
 def _stream_upsert_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/stops").drop("bucket")
+    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/stops").drop("day", "bucket")
 
 
 # --- forecast --------------------------------------------------------------
@@ -383,6 +458,32 @@ def _train_volume_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own["forecast/fact_train_volume_forecast"]
 
 
+def _forecast_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be said of a forecast without knowing its numbers."""
+    models, scored_at = scratch_path(spark, "models"), scratch_path(spark, "scored")
+    past = _training_objects(spark, sf_dir)
+    model, metadata = forecast.fit(past, AS_OF)
+    forecast.save(model, metadata, models)
+    model, stored = forecast.load_latest(spark, models)
+    tables = Tables(spark, scratch_path(spark, "forecast"))
+    tables.reload("dwh/d_date", warehouse(spark, sf_dir)["dwh/d_date"])
+    forecast.refresh_forecast(tables, models, AS_OF)
+    forecast.scored(model, past).write.parquet(scored_at)
+    again = forecast.errors(spark.read.parquet(scored_at)).first()
+    close = all(abs(again[m] - stored[m]) <= 1e-9 * max(1.0, abs(again[m])) for m in forecast.METRICS)
+    labels = past.agg(F.min(forecast.LABEL).alias("lo"), F.max(forecast.LABEL).alias("hi")).first()
+    predicted = F.col("predicted_nb_train")
+    return tables["forecast/fact_train_volume_forecast"].agg(
+        F.count(F.lit(1)).alias("nb_hours"),
+        F.min("date").alias("first_hour"),
+        F.max("date").alias("last_hour"),
+        F.max("model_name").alias("model_name"),
+        F.bool_and(predicted.between(labels["lo"], labels["hi"])).alias("in_label_range"),
+        F.lit(close).alias("metrics_recomputed"),
+        F.lit(stored["n_rows"]).cast("bigint").alias("n_rows"),
+    )
+
+
 def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event for each (user, type), as an upsert of time-ordered batches."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -398,11 +499,69 @@ def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.latest_wins(target, newer, ["trip_id", "stop_name"], order)
 
 
+# --- dashboards with parameters ----------------------------------------------
+
+REGION, DEPARTEMENT = "1", "02"
+# upper case and accents that the stored name doesn't have
+COMMUNE = "CÔMMUNÈ-7"
+STATION = "Supplier 000000003"
+
+
+def _station(tables: Tables) -> int:
+    found = tables["dwh/d_station"].where(F.col("station_name") == STATION)
+    return found.agg(F.coalesce(F.min("tk_station"), F.lit(0))).first()[0]
+
+
+def _lines(tables: Tables, *names: str) -> list[int]:
+    found = tables["dwh/d_line"].where(F.col("line_name").isin(*names)).select("tk_line")
+    return [row[0] for row in found.collect()]  # as many as ``names`` at most
+
+
+def _one_line(build, name: str) -> Query:
+    return _on_tables(lambda w: build(w, AS_OF, (_lines(w, name) or [0])[0]))
+
+
+def _parameterised() -> dict[str, Query]:
+    t, every = _on_tables, dashboard.ALL
+    some = LINES[:2]
+    return {
+        "line_volume_one": _one_line(dashboard.line_volume, LINES[0]),
+        "line_rates_one": _one_line(dashboard.line_rates, LINES[1]),
+        "line_radar_one": _one_line(dashboard.line_rates_today, LINES[2]),
+        "lines_chart_some": t(lambda w: dashboard.lines_chart(w, AS_OF, _lines(w, *some))),
+        "lines_table_some": t(lambda w: dashboard.lines_table(w, AS_OF, _lines(w, *some))),
+        "departements_of_region": t(lambda w: dashboard.departements(w, REGION)),
+        "departements_of_all": t(lambda w: dashboard.departements(w, every)),
+        "communes_of_region": t(lambda w: dashboard.communes(w, REGION, every)),
+        "communes_of_departement": t(lambda w: dashboard.communes(w, REGION, DEPARTEMENT)),
+        "gares_of_commune": t(
+            lambda w: dashboard.stations(w, every, every, COMMUNE).select("station_name_ref")
+        ),
+        "gares_all_of_departement": t(
+            lambda w: dashboard.stations_or_all(w, every, DEPARTEMENT, every).select(
+                "station_name_ref")
+        ),
+        "station_kpi_one": t(lambda w: dashboard.station_kpi(w, AS_OF, _station(w))),
+        "station_kpi_every": t(lambda w: dashboard.station_kpi(w, AS_OF, every)),
+        "station_flow_one": t(lambda w: dashboard.station_flow(w, AS_OF, _station(w))),
+        "platform_one": t(lambda w: dashboard.platforms_today(w, AS_OF, _station(w))),
+        "station_deltas_one": t(lambda w: dashboard.station_deltas(w, AS_OF, _station(w))),
+        "board_of_region": t(lambda w: dashboard.departure_board(w, AS_OF, REGION, every, every)),
+        "board_of_departement": t(
+            lambda w: dashboard.departure_board(w, AS_OF, REGION, DEPARTEMENT)
+        ),
+        "board_of_commune": t(lambda w: dashboard.departure_board(w, AS_OF, commune=COMMUNE)),
+        "board_of_station": t(
+            lambda w: dashboard.departure_board(w, AS_OF, station=_station(w))
+        ),
+    }
+
+
 def queries() -> dict[str, Query]:
     t = _on_tables
-    return {
+    return _parameterised() | {
         # dimensions
-        "d_date": _d_date,
+        "d_date": t(_d_date),
         "d_time": t(_d_time),
         "public_holidays": _holidays,
         "d_vehicule": t(lambda w: w["dwh/d_vehicule"].drop("tk_vehicule")),
@@ -435,6 +594,7 @@ def queries() -> dict[str, Query]:
         ),
         # load semantics
         "insert_if_absent": t(_insert_if_absent),
+        "refresh_rolling": _refresh_rolling,
         "upsert_metrics": _upsert_metrics,
         "latest_wins_stops": t(_latest_stops),
         "latest_wins_merge": _events_latest,
@@ -492,6 +652,8 @@ def queries() -> dict[str, Query]:
         ),
         "forecast_grid": _forecast_grid,
         "train_volume_forecast": _train_volume_forecast,
+        "forecast_checks": _forecast_checks,
+        "objects_matching": _objects_matching,
         "daily_objects": _daily_objects,
         # feeds and streams
         "siri_xml_trips": _xml_trips,
@@ -499,9 +661,11 @@ def queries() -> dict[str, Query]:
         "trip_message_stops": _message_stops,
         "gtfs_stop_updates": t(_gtfs_updates),
         "stream_append_stops": _stream_append,
+        "stream_append_trips": _stream_append_trips,
         "stream_rejects": _stream_rejects,
         "stream_upsert_trips": _stream_upsert_trips,
         "stream_upsert_stops": _stream_upsert_stops,
         "stream_redelivered_stops": _stream_redelivered,
         "stream_gtfs_updates": _stream_gtfs,
+        "stream_gtfs_rejects": _stream_gtfs_rejects,
     }

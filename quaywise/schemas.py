@@ -137,7 +137,7 @@ F_STATION_DAILY_METRICS = """
 """
 
 # latest day any stop of a partition of f_trips arrives or departs
-F_TRIPS_REACH = "ref_date_tk int, last_arrival_tk int, last_departure_tk int"
+F_TRIPS_REACH = "ref_date_tk int, last_arrival_tk int, last_departure_tk int, first_departure_tk int"
 
 # delay of a stop and of the stop before it, with the region of the stop
 DELAY_STEPS = """

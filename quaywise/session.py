@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -62,18 +63,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/quaywise/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-@contextmanager
-def staged(rows: DataFrame) -> Iterator[DataFrame]:
-    """``rows`` written below the scratch root and read back.
+def replace_rows(
+    spark: SparkSession, path: str, rows: DataFrame, write: Callable[[DataFrame], None]
+) -> None:
+    """Replace stored rows by ``rows`` that were derived from them.
 
-    For tables that are replaced by rows derived from them: a folder must not be
-    overwritten by a plan that still reads it. The copy is removed at the end.
+    A folder must not be overwritten by a plan that still reads it, and an
+    overwrite that fails halfway must not lose rows. So the new rows are written
+    next to the table first and marked as complete; then ``write`` puts them in
+    place. Whoever comes next finishes a marked copy (:func:`finish_replacing`).
+    ``write`` gives the same table however often it runs. One writer at a time.
     """
-    spark = rows.sparkSession
-    folder = scratch_path(spark, "staged")
-    rows.write.parquet(folder)
+    copy, mark = f"{path}__next", f"{path}__ready"
+    rows.write.mode("overwrite").parquet(copy)
+    spark.range(1).write.mode("overwrite").parquet(mark)
+    finish_replacing(spark, path, write)
+
+
+def finish_replacing(spark: SparkSession, path: str, write: Callable[[DataFrame], None]) -> None:
+    """Put a copy that was marked as complete in place, and take the mark away."""
+    copy, mark = f"{path}__next", f"{path}__ready"
+    ready = read_or_none(spark, mark, "id long")
+    if ready is None or ready.isEmpty():
+        return
+    rows = spark.read.parquet(copy)
+    write(rows)
+    spark.range(0).write.mode("overwrite").parquet(mark)
+    # the copy gives its disk back; its schema stays
+    spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(copy)
+
+
+def read_or_none(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+    """The Parquet folder, or None before its first load."""
     try:
-        yield spark.read.schema(rows.schema).parquet(folder)
-    finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

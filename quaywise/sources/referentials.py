@@ -8,73 +8,115 @@ from pyspark.sql.types import StructType
 
 from quaywise import schemas
 
-# Region code, region name and the (code, name) départements of it.
-REGIONS = {
-    "01": ("Guadeloupe", "971 Guadeloupe"),
-    "02": ("Martinique", "972 Martinique"),
-    "03": ("Guyane", "973 Guyane"),
-    "04": ("La Réunion", "974 La Réunion"),
-    "06": ("Mayotte", "976 Mayotte"),
-    "11": (
-        "Île-de-France",
-        "75 Paris, 77 Seine-et-Marne, 78 Yvelines, 91 Essonne, 92 Hauts-de-Seine, "
-        "93 Seine-Saint-Denis, 94 Val-de-Marne, 95 Val-d'Oise",
-    ),
-    "24": (
-        "Centre-Val de Loire",
-        "18 Cher, 28 Eure-et-Loir, 36 Indre, 37 Indre-et-Loire, 41 Loir-et-Cher, 45 Loiret",
-    ),
-    "27": (
-        "Bourgogne-Franche-Comté",
-        "21 Côte-d'Or, 25 Doubs, 39 Jura, 58 Nièvre, 70 Haute-Saône, 71 Saône-et-Loire, "
-        "89 Yonne, 90 Territoire de Belfort",
-    ),
-    "28": ("Normandie", "14 Calvados, 27 Eure, 50 Manche, 61 Orne, 76 Seine-Maritime"),
-    "32": ("Hauts-de-France", "02 Aisne, 59 Nord, 60 Oise, 62 Pas-de-Calais, 80 Somme"),
-    "44": (
-        "Grand Est",
-        "08 Ardennes, 10 Aube, 51 Marne, 52 Haute-Marne, 54 Meurthe-et-Moselle, 55 Meuse, "
-        "57 Moselle, 67 Bas-Rhin, 68 Haut-Rhin, 88 Vosges",
-    ),
-    "52": (
-        "Pays de la Loire",
-        "44 Loire-Atlantique, 49 Maine-et-Loire, 53 Mayenne, 72 Sarthe, 85 Vendée",
-    ),
-    "53": ("Bretagne", "22 Côtes-d'Armor, 29 Finistère, 35 Ille-et-Vilaine, 56 Morbihan"),
-    "75": (
-        "Nouvelle-Aquitaine",
-        "16 Charente, 17 Charente-Maritime, 19 Corrèze, 23 Creuse, 24 Dordogne, 33 Gironde, "
-        "40 Landes, 47 Lot-et-Garonne, 64 Pyrénées-Atlantiques, 79 Deux-Sèvres, 86 Vienne, "
-        "87 Haute-Vienne",
-    ),
-    "76": (
-        "Occitanie",
-        "09 Ariège, 11 Aude, 12 Aveyron, 30 Gard, 31 Haute-Garonne, 32 Gers, 34 Hérault, "
-        "46 Lot, 48 Lozère, 65 Hautes-Pyrénées, 66 Pyrénées-Orientales, 81 Tarn, "
-        "82 Tarn-et-Garonne",
-    ),
-    "84": (
-        "Auvergne-Rhône-Alpes",
-        "01 Ain, 03 Allier, 07 Ardèche, 15 Cantal, 26 Drôme, 38 Isère, 42 Loire, "
-        "43 Haute-Loire, 63 Puy-de-Dôme, 69 Rhône, 73 Savoie, 74 Haute-Savoie",
-    ),
-    "93": (
-        "Provence-Alpes-Côte d'Azur",
-        "04 Alpes-de-Haute-Provence, 05 Hautes-Alpes, 06 Alpes-Maritimes, "
-        "13 Bouches-du-Rhône, 83 Var, 84 Vaucluse",
-    ),
-    "94": ("Corse", "2A Corse-du-Sud, 2B Haute-Corse"),
-}
+# Code and name of each département, code and name of its region.
+DEPARTEMENTS = (
+    ("01", "Ain", "84", "Auvergne-Rhône-Alpes"),
+    ("02", "Aisne", "32", "Hauts-de-France"),
+    ("03", "Allier", "84", "Auvergne-Rhône-Alpes"),
+    ("04", "Alpes-de-Haute-Provence", "93", "Provence-Alpes-Côte d'Azur"),
+    ("05", "Hautes-Alpes", "93", "Provence-Alpes-Côte d'Azur"),
+    ("06", "Alpes-Maritimes", "93", "Provence-Alpes-Côte d'Azur"),
+    ("07", "Ardèche", "84", "Auvergne-Rhône-Alpes"),
+    ("08", "Ardennes", "44", "Grand Est"),
+    ("09", "Ariège", "76", "Occitanie"),
+    ("10", "Aube", "44", "Grand Est"),
+    ("11", "Aude", "76", "Occitanie"),
+    ("12", "Aveyron", "76", "Occitanie"),
+    ("13", "Bouches-du-Rhône", "93", "Provence-Alpes-Côte d'Azur"),
+    ("14", "Calvados", "28", "Normandie"),
+    ("15", "Cantal", "84", "Auvergne-Rhône-Alpes"),
+    ("16", "Charente", "75", "Nouvelle-Aquitaine"),
+    ("17", "Charente-Maritime", "75", "Nouvelle-Aquitaine"),
+    ("18", "Cher", "24", "Centre-Val de Loire"),
+    ("19", "Corrèze", "75", "Nouvelle-Aquitaine"),
+    ("21", "Côte-d'Or", "27", "Bourgogne-Franche-Comté"),
+    ("22", "Côtes-d'Armor", "53", "Bretagne"),
+    ("23", "Creuse", "75", "Nouvelle-Aquitaine"),
+    ("24", "Dordogne", "75", "Nouvelle-Aquitaine"),
+    ("25", "Doubs", "27", "Bourgogne-Franche-Comté"),
+    ("26", "Drôme", "84", "Auvergne-Rhône-Alpes"),
+    ("27", "Eure", "28", "Normandie"),
+    ("28", "Eure-et-Loir", "24", "Centre-Val de Loire"),
+    ("29", "Finistère", "53", "Bretagne"),
+    ("2A", "Corse-du-Sud", "94", "Corse"),
+    ("2B", "Haute-Corse", "94", "Corse"),
+    ("30", "Gard", "76", "Occitanie"),
+    ("31", "Haute-Garonne", "76", "Occitanie"),
+    ("32", "Gers", "76", "Occitanie"),
+    ("33", "Gironde", "75", "Nouvelle-Aquitaine"),
+    ("34", "Hérault", "76", "Occitanie"),
+    ("35", "Ille-et-Vilaine", "53", "Bretagne"),
+    ("36", "Indre", "24", "Centre-Val de Loire"),
+    ("37", "Indre-et-Loire", "24", "Centre-Val de Loire"),
+    ("38", "Isère", "84", "Auvergne-Rhône-Alpes"),
+    ("39", "Jura", "27", "Bourgogne-Franche-Comté"),
+    ("40", "Landes", "75", "Nouvelle-Aquitaine"),
+    ("41", "Loir-et-Cher", "24", "Centre-Val de Loire"),
+    ("42", "Loire", "84", "Auvergne-Rhône-Alpes"),
+    ("43", "Haute-Loire", "84", "Auvergne-Rhône-Alpes"),
+    ("44", "Loire-Atlantique", "52", "Pays de la Loire"),
+    ("45", "Loiret", "24", "Centre-Val de Loire"),
+    ("46", "Lot", "76", "Occitanie"),
+    ("47", "Lot-et-Garonne", "75", "Nouvelle-Aquitaine"),
+    ("48", "Lozère", "76", "Occitanie"),
+    ("49", "Maine-et-Loire", "52", "Pays de la Loire"),
+    ("50", "Manche", "28", "Normandie"),
+    ("51", "Marne", "44", "Grand Est"),
+    ("52", "Haute-Marne", "44", "Grand Est"),
+    ("53", "Mayenne", "52", "Pays de la Loire"),
+    ("54", "Meurthe-et-Moselle", "44", "Grand Est"),
+    ("55", "Meuse", "44", "Grand Est"),
+    ("56", "Morbihan", "53", "Bretagne"),
+    ("57", "Moselle", "44", "Grand Est"),
+    ("58", "Nièvre", "27", "Bourgogne-Franche-Comté"),
+    ("59", "Nord", "32", "Hauts-de-France"),
+    ("60", "Oise", "32", "Hauts-de-France"),
+    ("61", "Orne", "28", "Normandie"),
+    ("62", "Pas-de-Calais", "32", "Hauts-de-France"),
+    ("63", "Puy-de-Dôme", "84", "Auvergne-Rhône-Alpes"),
+    ("64", "Pyrénées-Atlantiques", "75", "Nouvelle-Aquitaine"),
+    ("65", "Hautes-Pyrénées", "76", "Occitanie"),
+    ("66", "Pyrénées-Orientales", "76", "Occitanie"),
+    ("67", "Bas-Rhin", "44", "Grand Est"),
+    ("68", "Haut-Rhin", "44", "Grand Est"),
+    ("69", "Rhône", "84", "Auvergne-Rhône-Alpes"),
+    ("70", "Haute-Saône", "27", "Bourgogne-Franche-Comté"),
+    ("71", "Saône-et-Loire", "27", "Bourgogne-Franche-Comté"),
+    ("72", "Sarthe", "52", "Pays de la Loire"),
+    ("73", "Savoie", "84", "Auvergne-Rhône-Alpes"),
+    ("74", "Haute-Savoie", "84", "Auvergne-Rhône-Alpes"),
+    ("75", "Paris", "11", "Île-de-France"),
+    ("76", "Seine-Maritime", "28", "Normandie"),
+    ("77", "Seine-et-Marne", "11", "Île-de-France"),
+    ("78", "Yvelines", "11", "Île-de-France"),
+    ("79", "Deux-Sèvres", "75", "Nouvelle-Aquitaine"),
+    ("80", "Somme", "32", "Hauts-de-France"),
+    ("81", "Tarn", "76", "Occitanie"),
+    ("82", "Tarn-et-Garonne", "76", "Occitanie"),
+    ("83", "Var", "93", "Provence-Alpes-Côte d'Azur"),
+    ("84", "Vaucluse", "93", "Provence-Alpes-Côte d'Azur"),
+    ("85", "Vendée", "52", "Pays de la Loire"),
+    ("86", "Vienne", "75", "Nouvelle-Aquitaine"),
+    ("87", "Haute-Vienne", "75", "Nouvelle-Aquitaine"),
+    ("88", "Vosges", "44", "Grand Est"),
+    ("89", "Yonne", "27", "Bourgogne-Franche-Comté"),
+    ("90", "Territoire de Belfort", "27", "Bourgogne-Franche-Comté"),
+    ("91", "Essonne", "11", "Île-de-France"),
+    ("92", "Hauts-de-Seine", "11", "Île-de-France"),
+    ("93", "Seine-Saint-Denis", "11", "Île-de-France"),
+    ("94", "Val-de-Marne", "11", "Île-de-France"),
+    ("95", "Val-d'Oise", "11", "Île-de-France"),
+    ("971", "Guadeloupe", "01", "Guadeloupe"),
+    ("972", "Martinique", "02", "Martinique"),
+    ("973", "Guyane", "03", "Guyane"),
+    ("974", "La Réunion", "04", "La Réunion"),
+    ("976", "Mayotte", "06", "Mayotte"),
+)
 
 
 def departements(spark: SparkSession) -> DataFrame:
     """The 101 départements with their region."""
-    rows = [
-        (*entry.split(" ", 1), code_region, name)
-        for code_region, (name, members) in REGIONS.items()
-        for entry in members.split(", ")
-    ]
-    return spark.createDataFrame(rows, schemas.DEPARTEMENTS)
+    return spark.createDataFrame(DEPARTEMENTS, schemas.DEPARTEMENTS)
 
 
 def name_corrections(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywise.functions import times
-from quaywise.sources.messages import MAX_STOPS, parted_stops
 from quaywise.sources.referentials import typed_stations
 from quaywise.sources.siri import ROW_TAG
 
@@ -242,14 +241,8 @@ def name_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def journeys(
-    trips: DataFrame, stops: DataFrame, max_stops: int = 10 * MAX_STOPS
-) -> DataFrame:
-    """Staged rows in the shape of the feed: one row for each journey element.
-
-    A journey above ``max_stops`` calls is written as several elements; the
-    reader then sees a first call in each of them.
-    """
+def journeys(trips: DataFrame, stops: DataFrame) -> DataFrame:
+    """Staged rows in the shape of the feed: one row for each journey element."""
 
     def filled(name: str) -> Column:
         return F.nullif(F.col(name), F.lit(""))
@@ -266,11 +259,7 @@ def journeys(
             filled("arrival_platform_name").alias("ArrivalPlatformName"),
         ).alias("call"),
     )
-    calls = (
-        parted_stops(stops, max_stops)
-        .groupBy("trip_id", "part")
-        .agg(F.array_sort(F.collect_list(call)).alias("calls"))
-    )
+    calls = stops.groupBy("trip_id").agg(F.array_sort(F.collect_list(call)).alias("calls"))
     return trips.join(calls.hint("merge"), "trip_id", "left").select(
         F.struct(F.col("trip_id").alias("DatedVehicleJourneyRef")).alias(
             "FramedVehicleJourneyRef"
@@ -290,10 +279,13 @@ def journeys(
 
 
 def write_journeys(rows: DataFrame, path: str) -> None:
-    """XML files, each a document of its own below one root element."""
+    """XML files, each a document of its own below one root element.
+
+    Not compressed: the reader splits plain files by tag.
+    """
     rows.write.format("xml").option("rowTag", ROW_TAG).option(
         "rootTag", "EstimatedJourneyVersionFrame"
-    ).option("compression", "gzip").save(path)
+    ).save(path)
 
 
 def forecast(ods_trips: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quaywise import schemas
-from quaywise.session import staged
+from quaywise.session import finish_replacing, read_or_none, replace_rows
 
 
 class Tables:
@@ -27,12 +26,8 @@ class Tables:
         The schema is declared, so no file footers are read to plan a query.
         """
         columns, _ = schemas.TABLES[name]
-        try:
-            return self.spark.read.schema(columns).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], columns)
+        stored = read_or_none(self.spark, self.path(name), columns)
+        return self.spark.createDataFrame([], columns) if stored is None else stored
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.read(name)
@@ -68,11 +63,15 @@ class Tables:
 
     def reload_from_itself(self, name: str, rows: DataFrame) -> None:
         """Like :meth:`reload` for rows that were derived from the table."""
-        with staged(rows) as copy:
-            self.reload(name, copy)
+        replace_rows(self.spark, self.path(name), rows, lambda copy: self.reload(name, copy))
 
     def compact_days(self, name: str, days: list[int] | list[str]) -> None:
         """Rewrite some day partitions, after many small appends, into few files."""
         _, partitions = schemas.TABLES[name]
-        with staged(self.read(name).where(F.col(partitions[0]).isin(*days))) as copy:
-            self.replace_days(name, copy)
+        self.recover(name)
+        some = self.read(name).where(F.col(partitions[0]).isin(*days))
+        replace_rows(self.spark, self.path(name), some, lambda copy: self.replace_days(name, copy))
+
+    def recover(self, name: str) -> None:
+        """Finish a replacement that was cut short."""
+        finish_replacing(self.spark, self.path(name), lambda copy: self._write(name, copy, "overwrite"))

@@ -1,11 +1,15 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quaywise.functions import calendar, status, text, times, trains
 from quaywise.functions.numbers import percent_change, round_ratio
-from quaywise.plans import dims
+from quaywise.plans import dashboard, dims, kpi
+from quaywise.sources import referentials
+
+NOW = datetime(2024, 1, 15, 12, 0, 0)
 
 
 def one(spark, column):
@@ -164,3 +168,50 @@ def test_holiday_flag_is_never_taken_back(spark):
     assert flagged.where("is_public_holiday").count() == 26 * 11 - 10
     again = dims.flag_holidays(flagged, dims.public_holidays(days).limit(0))
     assert again.where("is_public_holiday").count() == 26 * 11 - 10
+
+
+def test_stop_status_for_every_combination(spark):
+    """All times around now and all flags, NULL included, against the rules in SQL."""
+    moments = [None, NOW - timedelta(minutes=5), NOW, NOW + timedelta(minutes=5)]
+    flags = [None, True, False]
+    cases = [(a, d, s, t) for a in moments for d in moments for s in flags for t in flags]
+    names = "expected_arrival timestamp_ntz, expected_departure timestamp_ntz, is_starting_point boolean, is_terminus boolean"
+    rows = spark.createDataFrame(cases, names)
+    found = [r[0] for r in rows.select(status.stop_status(times.ntz(NOW))).collect()]
+    duck = duckdb.connect()
+    duck.execute("create table s (a timestamp, d timestamp, s boolean, t boolean)")
+    duck.executemany("insert into s values (?, ?, ?, ?)", cases)
+    now = f"timestamp '{NOW}'"
+    expected = duck.execute(f"""select case when d is null and t then 'TERMINE'
+        when d is null and not t then 'NON_PLANIFIE' when a is null and not s then 'NON_PLANIFIE'
+        when (t or d < {now}) and a < {now} then 'TERMINE'
+        when (t or d > {now}) and a > {now} then 'A_VENIR' else 'EN_COURS' end from s""").fetchall()
+    assert found == [r[0] for r in expected]
+    assert set(found) == {"TERMINE", "NON_PLANIFIE", "A_VENIR", "EN_COURS"}
+
+
+@pytest.mark.parametrize(
+    "category, family",
+    [("RER A", "RER"), ("rer_b", "RER"), ("Train TER_nord", "TRAIN TER"), ("train special", "TRAIN SPECIAL"),
+     ("Train", "TRAIN"), ("TRAIN_X", "TRAIN X"), ("INTER_CITES", "INTER CITES"), ("", ""), (None, "Non identifié")],
+)
+def test_train_family(spark, category, family):
+    rows = spark.createDataFrame([(category,)], "c string")
+    assert rows.select(kpi.train_family(F.col("c"))).first()[0] == family
+
+
+@pytest.mark.parametrize(
+    "state, delay, shown",
+    [("EN_COURS", None, "En cours"), ("EN_COURS", 1, "À l’heure"), ("EN_COURS", -3, "À l’heure"),
+     ("EN_COURS", 2, "Retard 2 min"), ("PREVU", 9, "À venir"), ("TERMINE", None, "Terminé"),
+     ("OTHER", 1, "Indéterminé"), (None, None, "Indéterminé")],
+)
+def test_board_status(spark, state, delay, shown):
+    rows = spark.createDataFrame([(state, delay)], "status_journey string, delay_arrival_minutes int")
+    assert rows.select(dashboard.board_status()).first()[0] == shown
+
+
+def test_departements_are_complete():
+    codes = [r[0] for r in referentials.DEPARTEMENTS]
+    assert len(codes) == len(set(codes)) == 101
+    assert len({r[2] for r in referentials.DEPARTEMENTS}) == len({r[3] for r in referentials.DEPARTEMENTS}) == 18

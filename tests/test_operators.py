@@ -49,8 +49,8 @@ def brute_previous(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10, 200, 10_000])
-def test_previous_of_a_group_that_holds_most_rows(spark, hot_rows):
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_previous_of_a_group_that_holds_most_rows(spark, width):
     draw = random.Random(7)
     rows = []
     for i in range(3000):
@@ -59,20 +59,29 @@ def test_previous_of_a_group_that_holds_most_rows(spark, hot_rows):
         delay = None if draw.random() < 0.1 else draw.randrange(20)
         rows.append((i, trip, moment, i, delay))
     frame = spark.createDataFrame(rows, "id int, trip string, t bigint, s bigint, delay int")
-    spread = F.coalesce(F.col("t") * 100_000 + F.col("s"), F.lit(10**12) + F.col("s"))
+    span = F.coalesce(F.floor(F.col("t") / width), F.lit(10**12))
     order = [F.col("t").isNull(), F.col("t"), F.col("s")]
-    result = with_previous(frame, "trip", order, spread, "delay", "before", hot_rows)
+    result = with_previous(frame, "trip", order, span, "delay", "before")
     assert {r["id"]: r["before"] for r in result.collect()} == brute_previous(rows)
     assert result.columns == [*frame.columns, "before"]
 
 
-def test_a_hot_group_is_cut_into_slices(spark):
+def test_times_of_one_second_with_falling_keys(spark):
+    """What leads the order decides, down to its microseconds, and the cut follows it."""
+    rows = [(i, "x", 20_000 * i, 40 - i, i) for i in range(400)]
+    frame = spark.createDataFrame(rows, "id int, trip string, t bigint, s bigint, delay int")
+    for second in (1, 60):
+        span = F.floor(F.col("t") / (second * 1_000_000))
+        result = with_previous(frame, "trip", [F.col("t"), F.col("s")], span, "delay", "before")
+        assert {r["id"]: r["before"] for r in result.collect()} == brute_previous(rows)
+
+
+def test_a_large_group_is_many_window_groups(spark):
     frame = spark.range(20_000).select(
         F.lit("x").alias("trip"), F.col("id").alias("t"), F.col("id").alias("delay")
     )
-    result = with_previous(frame, "trip", [F.col("t")], F.col("t"), "delay", "before", 1000)
-    text = plan(result)
-    assert "_slice" in text and result.where("before = delay - 1").count() == 19_999
+    result = with_previous(frame, "trip", [F.col("t")], F.floor(F.col("t") / 60), "delay", "before")
+    assert "_span" in plan(result) and result.where("before = delay - 1").count() == 19_999
 
 
 def test_hours_touched_by_an_event(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from conftest import NOW, values
 from oracle import SQL
-from quaywise.plans import dashboard, forecast, kpi
+from quaywise.plans import dashboard, forecast, kpi, registry
 from quaywise.plans.registry import LINES
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 
@@ -19,6 +19,10 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+# one place of the smallest tables need not have a train at the moment
+MAY_BE_EMPTY = {"board_of_station", "board_of_commune", "board_of_departement", "board_of_region"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -52,11 +56,11 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(result.columns) == sorted(expected.columns)
     found = rows_of(result.columns, result.collect())
     assert found == rows_of(expected.columns, expected.fetchall())
-    assert found
+    assert found or name in MAY_BE_EMPTY
 
 
 def test_every_query_but_the_model_has_sql():
-    assert set(entry_module.queries()) - set(SQL) == {"train_volume_forecast"}
+    assert set(registry.queries()) - set(SQL) == {"train_volume_forecast"}
 
 
 def test_entry(spark):

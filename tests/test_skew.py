@@ -5,10 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from conftest import values
 from oracle import SQL
-from quaywise.plans import facts
-from quaywise.plans.sample_warehouse import AS_OF, warehouse
 from test_queries import SF_DIR, TABLES, rows_of
 
 # departs within the half hour of the board and runs now
@@ -52,14 +49,3 @@ def test_skewed_query_equals_sql(spark, skewed, name):
     assert rows_of(result.columns, result.collect()) == rows_of(
         expected.columns, expected.fetchall()
     )
-
-
-def test_cut_chains_equal_whole_chains(spark, skewed):
-    w = warehouse(spark, skewed)
-    places = (w["dwh/d_station"], w["ods/ref_departements"])
-    whole = facts.delay_steps_realtime(w["dwh/f_trips_realtime"], *places)
-    cut = facts.delay_steps_realtime(w["dwh/f_trips_realtime"], *places, hot_rows=3)
-    assert values(whole) == values(cut)
-    whole = facts.delay_steps_history(w["dwh/f_trips"], *places, as_of=AS_OF)
-    cut = facts.delay_steps_history(w["dwh/f_trips"], *places, as_of=AS_OF, hot_rows=3)
-    assert values(whole) == values(cut)
