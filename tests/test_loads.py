@@ -5,7 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import NOW, frame, stop, trip, values
 from quaywise import schemas
-from quaywise.plans import checks, dims, facts, kpi, ods, refresh
+from quaywise.plans import checks, dims, facts, forecast, kpi, ods, refresh
+
+
+def plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
 
 
 def stations(spark, *rows):
@@ -257,7 +261,47 @@ def test_settled_days_are_not_read_for_metrics(spark, loaded):
     text = pruned._jdf.queryExecution().executedPlan().toString()
     assert "20240101" in text.split("PartitionFilters")[1].split("]")[0]
     assert pruned.count() == loaded["dwh/f_trips"].count()
-    assert values(loaded["dwh/f_trips_reach"]) == [(20240115, 20240115, 20240115)]
+    assert values(loaded["dwh/f_trips_reach"]) == [(20240115, 20240115, 20240115, 20240115)]
+
+
+def test_days_outside_a_window_are_not_read_for_training(spark, loaded):
+    """Days whose stops all end before the window, or all begin after it, are not opened."""
+    days = ((20240101, 20240102, 20240102, 20240101), (20240301, 20240301, 20240301, 20240301))
+    names = ("ref_date_tk", "last_arrival_tk", "last_departure_tk", "first_departure_tk")
+    reach = frame(spark, "dwh/f_trips_reach", [dict(zip(names, d)) for d in days])
+    loaded.append("dwh/f_trips_reach", reach)
+    rows = forecast.training_set(loaded, *forecast.recent_window(NOW))
+    filters = plan(rows).split("PartitionFilters")
+    assert any("ref_date_tk" in f and "20240101" in f and "20240301" in f for f in filters)
+
+
+def test_a_periodic_refresh_opens_recent_days_of_stops_only(spark, loaded):
+    window = refresh.Window.rolling(NOW)
+    known = refresh._days_from(loaded["ods/stops"], window.known)
+    rows = ods.new_stops(loaded["dsa/stops"], loaded["ods/trips"], known, window.stops)
+    filters = plan(rows).split("PartitionFilters")
+    assert any("ref_date" in f and ">= 2023-12-16" in f for f in filters)
+
+
+def test_a_rewrite_that_fails_halfway_loses_nothing(spark, loaded, monkeypatch):
+    before = values(loaded["dwh/f_trips"])
+    place = type(loaded)._write
+
+    def fail(self, name, rows, mode):
+        if mode == "overwrite":
+            # the old partition is gone and little of the new one has come
+            place(self, name, rows.limit(1), "overwrite")
+            raise OSError("disk full")
+        place(self, name, rows, mode)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(loaded), "_write", fail)
+        with pytest.raises(OSError):
+            loaded.compact_days("dwh/f_trips", [20240115])
+    loaded.recover("dwh/f_trips")
+    assert values(loaded["dwh/f_trips"]) == before
+    loaded.recover("dwh/f_trips")
+    assert values(loaded["dwh/f_trips"]) == before
 
 
 def test_steps_follow_arrivals_with_missing_ones_last(loaded):
@@ -299,7 +343,7 @@ def test_comparison_with_known_stops_can_be_bounded(spark, tables):
         {"trip_id": "t1", "stop_name": "C", "ref_date": date(2024, 1, 14)},
     ])
     tables.append("ods/stops", old)
-    refresh.refresh_ods(tables, refresh.Window.rolling(NOW))
+    refresh.refresh_ods(tables, refresh.Window.rolling(NOW, known_days=None))
     today = tables["ods/stops"].where("trip_id = 't1' and ref_date = '2024-01-15'")
     assert values(today, "stop_name") == [("A",)]
     refresh.refresh_ods(tables, refresh.Window.rolling(NOW, known_days=3))
