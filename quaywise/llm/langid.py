@@ -33,7 +33,7 @@ HIDDEN, TRAIN_BYTES, BATCH, STEPS, RATE, SEED = 8, 48, 192, 300, 0.02, 11
 #: Bytes of a window in prediction, and windows that run side by side.
 WINDOW, WIDTH = 128, 2048
 #: Least probability at which a filter keeps a document.
-MIN_SCORE = 0.5
+MIN_SCORE = 0.4
 
 
 @dataclass
