@@ -14,7 +14,7 @@ from quaywise.operators import merge
 from quaywise.plans import dashboard, dims, facts, forecast, kpi, ods, refresh
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 from quaywise.session import scratch_path
-from quaywise.sources import gtfs, messages, objects, sample, siri
+from quaywise.sources import gtfs, messages, objects, referentials, sample, siri
 from quaywise.sources.tables import Tables
 from quaywise.streaming import trips as streams
 
@@ -84,6 +84,19 @@ def _holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _static_departements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All départements, with the stations of the nation that has their code."""
+    code = F.lpad(F.col("s_nationkey").cast("string"), 2, "0")
+    served = spark.read.parquet(f"{sf_dir}/supplier.parquet").groupBy(
+        code.alias("code_departement")
+    ).agg(F.count(F.lit(1)).alias("nb_stations"))
+    return (
+        referentials.departements(spark)
+        .join(served, "code_departement", "left")
+        .fillna(0, ["nb_stations"])
+    )
+
+
 def _d_station(tables: Tables) -> DataFrame:
     return tables["dwh/d_station"].drop("tk_station", "idgaia")
 
@@ -572,6 +585,7 @@ def queries() -> dict[str, Query]:
         "ods_trips_window": t(_ods_window),
         "ods_vehicules": t(lambda w: w["ods/vehicules"]),
         "ods_stops": t(lambda w: w["ods/stops"]),
+        "static_departements": _static_departements,
         "ods_stations": t(lambda w: w["ods/stations"].drop("idgaia")),
         # facts
         "f_trips": t(

@@ -14,11 +14,12 @@ NOW = datetime(2024, 1, 15, 12, 0, 0)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "quaywise-tests",
         master="local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="6g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
