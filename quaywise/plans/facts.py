@@ -308,6 +308,28 @@ def line_metrics(f_trips: DataFrame, since: date | None) -> DataFrame:
     )
 
 
+def daily_punctuality(f_trips: DataFrame, since: date | None) -> DataFrame:
+    """Late and all trips of each day, and the minutes they were late at their terminus.
+
+    A day of trips is one partition, so only the days being loaded are read.
+    """
+    if since is not None:
+        f_trips = f_trips.where(F.col("ref_date_tk") >= times.key_of(since))
+    late_at_end = F.col("is_terminus") & (F.col("delay_arrival_minutes") > 0)
+    trips = per_entity(
+        f_trips,
+        ["ref_date_tk"],
+        "trip_id",
+        worst=F.max("delay_arrival_minutes"),
+        minutes=F.sum(F.when(late_at_end, F.col("delay_arrival_minutes"))),
+    )
+    return trips.groupBy("ref_date_tk").agg(
+        count_where(F.col("worst") > LATE_MINUTES).alias("nb_late"),
+        entities().alias("nb_trips"),
+        F.sum("minutes").alias("terminus_minutes"),
+    )
+
+
 def platform_usage(
     f_trips: DataFrame, since: date | None, legacy_swap: bool = False
 ) -> DataFrame:

@@ -200,6 +200,9 @@ def refresh_metrics(tables: Tables, as_of: datetime, window: Window) -> None:
 
     together(
         lambda: tables.replace_days("dwh/f_line_metrics", facts.line_metrics(arrived, since)),
+        lambda: tables.replace_days(
+            "dwh/f_daily_punctuality", facts.daily_punctuality(f_trips, since)
+        ),
         stations,
         lambda: tables.reload(
             "dwh/delay_steps_realtime",

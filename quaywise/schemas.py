@@ -123,6 +123,10 @@ F_LINE_METRICS = """
     delay_minutes bigint, avg_delay_minutes double, ref_date_tk int
 """
 
+F_DAILY_PUNCTUALITY = """
+    nb_late bigint, nb_trips bigint, terminus_minutes bigint, ref_date_tk int
+"""
+
 F_STATION_PLATFORM_USAGE = """
     station_tk bigint, platform_name string, nb_arrivals bigint, nb_departures bigint,
     nb_departures_delayed bigint, nb_arrivals_delayed bigint, avg_delay_minutes double,
@@ -176,6 +180,7 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "dwh/f_journey": (F_JOURNEY, ("ref_date_tk",)),
     "dwh/f_trips_realtime": (F_TRIPS_REALTIME, ()),
     "dwh/f_line_metrics": (F_LINE_METRICS, ("ref_date_tk",)),
+    "dwh/f_daily_punctuality": (F_DAILY_PUNCTUALITY, ("ref_date_tk",)),
     "dwh/f_station_platform_usage": (F_STATION_PLATFORM_USAGE, ("ref_date_tk",)),
     "dwh/f_station_daily_metrics": (F_STATION_DAILY_METRICS, ("ref_date_tk",)),
     "dwh/delay_steps_realtime": (DELAY_STEPS, ()),

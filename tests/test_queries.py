@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from conftest import NOW, values
 from oracle import SQL
-from quaywise.plans import dashboard, forecast, kpi, registry
+from quaywise.plans import dashboard, facts, forecast, kpi, registry
 from quaywise.plans.registry import LINES
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 
@@ -79,10 +79,9 @@ def test_forecast_covers_the_coming_hours(spark, w):
 
 def test_plans_have_no_cross_join_and_no_python(spark):
     """Loops over all pairs and row-wise Python never occur in a query plan."""
-    skipped = {"stream_rejects"}  # crosses two one-row counts
     slow = {"train_volume_forecast", "upsert_metrics", "daily_objects", "forecast_grid"}
-    for name, query in entry_module.queries().items():
-        if name in skipped | slow or name.startswith(("stream_", "siri_", "trip_message")):
+    for name, query in registry.queries().items():
+        if name in slow or name.startswith(("stream_", "siri_", "trip_message")):
             continue
         plan = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEval", "BatchEval",
@@ -91,9 +90,12 @@ def test_plans_have_no_cross_join_and_no_python(spark):
 
 
 def test_scans_read_only_the_columns_they_need(w):
-    plan = kpi.late_rate(w)._jdf.queryExecution().executedPlan().toString()
+    rows = facts.daily_punctuality(w["dwh/f_trips"], None)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
     schema = re.search(r"ReadSchema: (\S+)", plan).group(1)
-    assert schema == "struct<trip_id:string,delay_arrival_minutes:int>"
+    assert schema == "struct<trip_id:string,delay_arrival_minutes:int,is_terminus:boolean>"
+    plan = kpi.late_rate(w)._jdf.queryExecution().executedPlan().toString()
+    assert "f_trips/" not in plan and "nb_late" in plan
 
 
 def test_day_filters_reach_the_partitions(w):
