@@ -125,11 +125,16 @@ def walk(g: Graph, vectors: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarr
     return np.where(np.isfinite(d), at, -1), d
 
 
-def chosen(g: Graph, vectors: np.ndarray, keep: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and lists: the nearest, and others up to ``ratio`` times its distance."""
+def chosen(
+    g: Graph, vectors: np.ndarray, keep: int, ratio: float, rows: np.ndarray, needed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and lists: the nearest, others up to ``ratio`` times its distance, and
+    as many more as it takes until they hold ``needed`` rows; ``rows`` are those of each list."""
     at, d = walk(g, vectors, keep)
-    near = (at >= 0) & (np.sqrt(d) <= ratio * np.sqrt(d[:, :1]))
-    near[:, 0] = True
+    near = np.sqrt(d) <= ratio * np.sqrt(d[:, :1])
+    held = rows[at]
+    near |= np.cumsum(held, axis=1) - held < needed
+    near &= at >= 0
     row, k = np.nonzero(near)
     return row, at[row, k]
 
@@ -143,14 +148,20 @@ def matrix(column: pa.Array) -> np.ndarray:
 STEP = 1024
 
 
-def listed(rows: DataFrame, g: Graph, keep: int, ratio: float) -> DataFrame:
-    """``rows`` (``a``, ``b``, ``vector``), once for each ``list`` chosen."""
+def listed(
+    rows: DataFrame, g: Graph, keep: int, ratio: float, held: np.ndarray | None = None, needed: int = 1
+) -> DataFrame:
+    """``rows`` (``a``, ``b``, ``vector``), once for each ``list`` chosen (see :func:`chosen`).
+
+    Without ``held`` every list counts as filled: the nearest one is enough.
+    """
+    held = np.ones(len(g.centroids), "i8") if held is None else held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                row, found = chosen(g, matrix(part.column("vector")), keep, ratio)
+                row, found = chosen(g, matrix(part.column("vector")), keep, ratio, held, needed)
                 taken = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [*taken.columns, pa.array(found.astype("i4"))], names=[*taken.schema.names, "list"]
@@ -183,7 +194,8 @@ def search(
 
     Needs ``vec_id`` and ``embedding``. Rows without id and vectors that are
     not ``usable`` take no part, nor do those whose length is not the most
-    common one. Rows with one id and one vector count once. Equal distances go
+    common one. Rows with one id and one vector count once. A query whose own
+    list holds little reads more lists until it has enough. Equal distances go
     to the smaller id; a query is never its own neighbour, an equal vector with
     another id is. An empty table gives no rows. The index holds every vector.
     """
@@ -213,12 +225,24 @@ def search(
 
     asked = stored(ids.where(queries).select(F.col("vec_id").alias("query_id"), "a", "b", "vector"), "queries")
     postings = stored(listed(entries, g, COPIES, COPY_RATIO), "postings")
+    # one row for each list, MAX_LISTS at most
+    blocks = stored(
+        postings.groupBy("list").agg(
+            F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")
+        ),
+        "blocks",
+    )
+    rows = np.zeros(lists, "i8")
+    for r in blocks.collect():
+        rows[r["list"]] = r["n"]
+    # so many rows hold as many different entries as a result can need, or all there are
+    needed = COPIES * (most + 1)
+    enough = int(np.searchsorted(np.cumsum(np.sort(rows)), needed)) + 1
     probes = listed(
-        asked.select("a", "b", "vector").dropDuplicates(["a", "b"]), g, max(1, round(lists * PROBE_SHARE)), probe_ratio
+        asked.select("a", "b", "vector").dropDuplicates(["a", "b"]), g,
+        min(lists, max(round(lists * PROBE_SHARE), enough)), probe_ratio, rows, needed,
     )
-    # one row for each list, MAX_LISTS at most
-    blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    blocks = F.broadcast(blocks)
+    blocks = F.broadcast(blocks.drop("n"))
     held = postings.join(blocks, "list").withColumn("block", F.pmod("b", F.col("blocks")).cast("int"))
     read = probes.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 

@@ -72,6 +72,17 @@ def test_recall(spark):
     assert hits >= 0.9 * sum(map(len, expected.values()))
 
 
+def test_lonely_queries_get_all_their_neighbours(spark):
+    """Vectors with a list of their own, at and near its centroid, read on until they have enough."""
+    given = sample(3000, 6) + [(10_000 + 100 * k, [1000.0 * (k + 1)] + [0.0] * 7) for k in range(6)]
+    given += [(20_000 + k, [5000.0, 1.0 + k] + [0.0] * 6) for k in range(12)] + [(20_100, [5000.0] + [0.0] * 7)]
+    found = result(neighbours.search(table(spark, given), F.col("vec_id") % 100 == 0))
+    expected = brute(given)
+    assert found.keys() == expected.keys()
+    assert all(len(rows) == 10 for rows in found.values())
+    assert [i for i, _ in found[20_100]] == [i for i, _ in expected[20_100]]
+
+
 def test_few_and_none(spark):
     given = sample(3)
     found = result(neighbours.search(table(spark, given), F.col("vec_id") % 100 == 0))
