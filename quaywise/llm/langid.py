@@ -272,7 +272,7 @@ def reader(model: Model) -> Reader:
 
 
 def has_letter(text: bytes) -> bool:
-    return text.isalpha() or any(map(str.isalpha, text.decode()))
+    return any(map(str.isalpha, text.decode()))
 
 
 def predicted(rows: DataFrame, model: Model | None) -> DataFrame:

@@ -113,7 +113,7 @@ class Forest:
             apart = a != b
             a, b = a[apart], b[apart]
             np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-            while (up := root[root]) is not None and not np.array_equal(up, root):
+            while not np.array_equal(up := root[root], root):
                 root[:] = up
 
 
