@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -52,6 +52,28 @@ def with_fields(rows: DataFrame, **fields: T.DataType) -> T.StructType:
     return T.StructType([*rows.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
 
 
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch that goes to a Python worker; Spark's own default is four times that.
+BATCH_BYTES = "16777216b"
+_SPARKS_BATCH_BYTES = "67108864b"
+
+
+def map_batches(rows: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``rows.mapInArrow`` with batches of a bounded size."""
+    bound_batches(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session names a size of its own.
+
+    Executors and workers hold a few copies of a batch, so its size decides
+    what a task needs for long texts.
+    """
+    if spark.conf.get(BATCH_KEY) == _SPARKS_BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
 def byte_texts(column: pa.Array) -> pa.Array:
     """A string column as UTF-8 bytes, without a copy for each value."""
     return column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column

@@ -29,13 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaywise.llm.common import byte_texts, map_shared, remainder, slices, table, write_shared
+from quaywise.llm.common import byte_texts, map_batches, map_shared, remainder, slices, table, write_shared
 from quaywise.session import scratch_path
 
 #: Tokens whose pairs a task counts before it hands them on.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 #: Bytes of text that are scored at a time.
-SCORED_BYTES = 8 << 20
+SCORED_BYTES = 5 << 20
 #: Words whose hash a worker keeps.
 KEPT_WORDS = 400_000
 #: A word with more than 1 / HOT of a shard's fair share of the pairs spreads over all shards.
@@ -129,7 +129,7 @@ def dealt(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[tupl
 
 BLOCKS = "shard int, block binary"
 PAIR_KINDS = ("u8", "u8", "u4")
-WORD_KINDS = ("u8", "u4", "u4", "u4", "u4", "u4")
+WORD_KINDS = ("u8",) * 6
 
 
 def block_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -168,7 +168,7 @@ def pair_blocks(texts: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
         if held:
             yield flush()
 
-    return texts.mapInArrow(run, BLOCKS)
+    return map_batches(texts, run, BLOCKS)
 
 
 SHARD = "kind string, shard int, name string, rows long, tokens long, n1 long, n2 long, n3 long, n4 long"
@@ -209,7 +209,7 @@ def merge_pairs(blocks: DataFrame, folder: str, shards: int) -> DataFrame:
         columns = [np.concatenate([s, np.zeros(len(before[0]), "i8")]) for s in stats[1:]]
         columns.append(np.concatenate([np.zeros(len(stats[0]), "i8"), before[1]]))
         words, *columns = summed(words, *columns)
-        out = list(dealt((mixed(words) % np.uint64(shards)).astype("i4"), shards, words, *(c.astype("u4") for c in columns)))
+        out = list(dealt((mixed(words) % np.uint64(shards)).astype("i4"), shards, words, *(c.astype("u8") for c in columns)))
         fact = {"kind": "pairs", "shard": shard, "name": name, "rows": len(pair), "tokens": int(count.sum())}
         fact |= dict(zip(("n1", "n2", "n3", "n4"), counts_of_counts(count), strict=True))
         rows_out = [fact | {"block": None}] + [{"kind": "words", "shard": k, "block": b} for k, b in out]
@@ -286,7 +286,8 @@ def hot_words(texts: DataFrame, shards: int) -> np.ndarray:
             )
 
     some = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("hot")), F.lit(HOT_SAMPLE)) == 0)
-    counts = some.mapInArrow(run, "word long, n long, all boolean").groupBy("word", "all").agg(F.sum("n").alias("n"))
+    found = map_batches(some, run, "word long, n long, all boolean")
+    counts = found.groupBy("word", "all").agg(F.sum("n").alias("n"))
     total = counts.where("all").agg(F.sum("n")).first()[0] or 0
     found = counts.where(~F.col("all") & (F.col("n") * HOT * shards > total)).orderBy(F.desc("n")).limit(HOT * shards)
     words = np.array([r.word for r in found.collect()], "i8").view("u8")
@@ -440,7 +441,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text")), run, schema)
 
 
 def held_out_scores(docs: DataFrame) -> DataFrame:
