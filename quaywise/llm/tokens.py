@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 
@@ -21,6 +25,38 @@ def vocabulary_path(path: str | None = None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The split pattern of the vocabulary, and the first character beyond those whose
+#: class in it is the same in every version of Unicode. Fixed values.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN_BELOW = "\u0250"
+
+
+def ranked(path: str):
+    """The same vocabulary for a library that encodes short chunks several times faster.
+
+    Only for a byte-level vocabulary whose ids follow the order of its merges,
+    so that ids are ranks; None for any other.
+    """
+    import tiktoken
+
+    given = json.loads(Path(path).read_text(encoding="utf-8"))
+    model = given["model"]
+    kind = given.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space"):
+        return None
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(kept)]
+    byte = {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(rest)}
+    special = {x["content"] for x in given.get("added_tokens", [])}
+    ids = {x: i for x, i in model["vocab"].items() if x not in special}
+    pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+    order = [ids[a + b] for a, b in pairs]
+    if order != sorted(order) or not all(c in byte for x in ids for c in x):
+        return None
+    ranks = {bytes(byte[c] for c in x): i for x, i in ids.items()}
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class _Chunks(dict):
     """Chunk after a single space -> its ids as little-endian 16-bit numbers."""
 
@@ -47,6 +83,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ranked = ranked(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         if self.size > 1 << 16:
@@ -54,8 +91,14 @@ class Encoder:
         self.chunks = _Chunks(self._plain)
 
     def _plain(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u2").tobytes()
+        if self.ranked and (text.isascii() or max(text) < PLAIN_BELOW):
+            found = self.ranked.encode_ordinary(text)
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = array("H", found)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         if not text:

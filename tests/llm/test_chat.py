@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -72,6 +73,12 @@ def test_empty(spark):
 
 def test_encoder_equals_the_library():
     encode = encoder(vocabulary_path())
+    assert encode.ranked is not None
+    rng = random.Random(4)
+    for alphabet in ("ab the'sdlv  re1\n\t.,!éñß", "é日本😀ʰ ²½x ", "I'll  don't 'S 12 \r\n\u00a0\u2003a"):
+        for _ in range(1500):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24)))
+            assert list(encode.ids(text)) == encode.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
     for text in [t or "" for _, t, _, _ in rows()] + ["a  b", " a", "a \n b", "x\n\n b   c", "  ", "don't  'll <|endoftext|>"]:
         ids = encode.tokenizer.encode(text, add_special_tokens=False).ids
         assert list(encode.ids(text)) == ids
