@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaywise.llm.common import byte_texts, remainder, slices, table, with_fields
+from quaywise.llm.common import byte_texts, map_batches, remainder, slices, table, with_fields
 
 UNKNOWN = "und"
 #: Bounds of the training rows.
@@ -298,7 +298,7 @@ def predicted(rows: DataFrame, model: Model | None) -> DataFrame:
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(run, with_fields(rows, lang_pred=T.StringType(), score=T.DoubleType()))
+    return map_batches(rows, run, with_fields(rows, lang_pred=T.StringType(), score=T.DoubleType()))
 
 
 def identify(docs: DataFrame) -> DataFrame:

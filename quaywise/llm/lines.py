@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaywise.llm.common import stored, table
+from quaywise.llm.common import bound_batches, stored, table
 
 WIDTH = 3
 SPACE = " \t\n\r\x0b\x0c"
@@ -85,6 +85,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     is left empty. An empty table gives no rows. All columns are kept as they
     are, but for ``n_chars``, which follows a text that was cut.
     """
+    bound_batches(docs.sparkSession)
     later = later_places(docs).select(
         F.struct("doc_id", "row_hash").alias("__key"), F.col("ks").alias("__ks")
     )

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaywise.llm.common import table
+from quaywise.llm.common import map_batches, table
 from quaywise.llm.tokens import encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 2048
@@ -159,13 +159,13 @@ def packed_pieces(
         yield from close()
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    dealt = (
         docs.select(F.col("doc_id").cast("long"), F.col("text"), spread.alias("spread"))
         .repartition(parts, "spread")
         .sortWithinPartitions("spread")
         .select("doc_id", "text")
-        .mapInArrow(run, schema)
     )
+    return map_batches(dealt, run, schema)
 
 
 def op8_pack_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quaywise.llm.common import byte_texts, slices, stored, table
+from quaywise.llm.common import byte_texts, map_batches, slices, stored, table
 
 SYMBOLS = "#*$%&|<>"
 _SYMBOLS = list(SYMBOLS.encode())
@@ -135,16 +135,13 @@ def statistics(docs: DataFrame) -> DataFrame:
             kept = [batch.column(c) for c in names[:4]]
             yield pa.RecordBatch.from_arrays([*kept, *counts, *vectors], names=names)
 
-    return (
-        docs.select(
-            F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
-            F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text"),
-        )
-        .mapInArrow(run, schema)
-        .withColumn(
-            "base_failed",
-            (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-        )
+    given = docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
+        F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text"),
+    )
+    return map_batches(given, run, schema).withColumn(
+        "base_failed",
+        (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     )
 
 

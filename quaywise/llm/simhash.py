@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaywise.llm.common import byte_texts, slices, stored, table, with_fields
+from quaywise.llm.common import byte_texts, map_batches, slices, stored, table, with_fields
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found.view("i8"))], names=[key, "fp"])
 
     rows = docs.select(key, "text")
-    return rows.mapInArrow(run, with_fields(rows.select(key), fp=T.LongType()))
+    return map_batches(rows, run, with_fields(rows.select(key), fp=T.LongType()))
 
 
 def ball(dimensions: int, radius: int) -> np.ndarray:
