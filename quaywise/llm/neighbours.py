@@ -199,9 +199,12 @@ def search(
     to the smaller id; a query is never its own neighbour, an equal vector with
     another id is. An empty table gives no rows. The index holds every vector.
     """
-    own = vectors.select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")
-    ).where(F.col("vec_id").isNotNull() & usable("vector"))
+    # single precision stays as it is, in half the space; distances are computed in double
+    kept = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    vector = F.col("embedding") if kept else F.col("embedding").cast("array<double>")
+    own = vectors.select(F.col("vec_id").cast("long"), vector.alias("vector")).where(
+        F.col("vec_id").isNotNull() & usable("vector")
+    )
     sizes = own.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"))
     common = sizes.orderBy(F.desc("n"), "size").first()
     size = common["size"] if common else 0
