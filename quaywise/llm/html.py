@@ -5,7 +5,10 @@ HTML allows to leave out, and the tree is rendered: hidden elements are left
 out, white space collapses, blocks begin on lines of their own with blank lines
 around paragraphs and headings, list items have markers and are indented by
 depth, preformatted text keeps its lines, and the cells of a table's rows stand
-in columns. All visible text is kept, whatever part of a page it is in.
+in columns. All visible text is kept, whatever part of a page it is in: what
+stands in a table outside its cells and caption is moved before the table, rows
+leave a wrapper that is no part of a table, and the texts of drawings and
+formulas are read. Copies that a drawing makes by ``use`` are not followed.
 """
 
 from __future__ import annotations
@@ -24,11 +27,29 @@ from quaywise.llm.common import slices, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template noscript iframe noembed noframes object audio video canvas svg math "
-    "datalist select area base link meta title param source track rp dialog".split()
+    "head script style template noscript iframe noembed noframes object audio video canvas "
+    "datalist select area base link meta title param source track rp".split()
 )
+#: Elements of drawings and formulas that show nothing in their place.
+FOREIGN_HIDDEN = {
+    "svg": frozenset(
+        "title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter "
+        "script style".split()
+    ),
+    "math": frozenset("annotation annotation-xml mphantom script style".split()),
+}
+#: Start tags that end an open drawing or formula.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+    "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Elements of drawings and formulas that hold HTML.
+HTML_WITHIN = {
+    "svg": frozenset("foreignobject desc title".split()),
+    "math": frozenset("mi mo mn ms mtext".split()),
+}
 BLOCK = frozenset(
-    "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer "
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead tr ul caption colgroup".split()
 )
@@ -57,6 +78,14 @@ CLOSES_P = BLOCK - frozenset("body html td th tr tbody thead tfoot caption colgr
 #: Elements that an end tag within them doesn't reach out of.
 SCOPE = frozenset("table td th caption html button".split())
 TABLE = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
+GROUPS = frozenset("thead tbody tfoot".split())
+#: Parts of a table -> open elements that they may stand in.
+STANDS_IN = {
+    "tr": GROUPS | {"table"},
+    "td": GROUPS | {"table", "tr"},
+    "th": GROUPS | {"table", "tr"},
+    "col": frozenset(["table", "colgroup"]),
+} | dict.fromkeys([*GROUPS, "caption", "colgroup"], frozenset(["table"]))
 #: Content that may stand in a head; anything else begins the body.
 IN_HEAD = frozenset("title meta link base style script noscript template head html".split())
 
@@ -75,19 +104,46 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 MAX_DEPTH = 256
 
 
+#: The end of a start tag that is one element; a slash that ends an unquoted value is part of it.
+_EMPTY = re.compile(r"(?<![^\s\"'])(?:[^\s\"'=]*)/\Z")
+
+
 class Node:
-    __slots__ = ("attributes", "children", "hidden", "name")
+    """``space`` is ``svg`` or ``math`` for the elements of drawings and formulas, empty for those of HTML."""
+
+    __slots__ = ("attributes", "children", "hidden", "name", "space")
 
-    def __init__(self, name: str, attributes: dict[str, str]):
+    def __init__(self, name: str, attributes: dict[str, str], space: str = ""):
         self.name = name
         self.attributes = attributes
+        self.space = space
         self.children: list[Node | str] = []
-        self.hidden = (
-            name in HIDDEN
-            or "hidden" in attributes
-            or (name == "input" and attributes.get("type", "").lower() == "hidden")
-            or bool(attributes.get("style") and _CSS_HIDDEN.search(attributes["style"]))
-        )
+        if space:
+            self.hidden = (
+                name in FOREIGN_HIDDEN[space]
+                or attributes.get("display", "").strip().lower() == "none"
+                or attributes.get("visibility", "").strip().lower() in ("hidden", "collapse")
+            )
+        else:
+            self.hidden = (
+                name in HIDDEN
+                or "hidden" in attributes
+                or (name == "input" and attributes.get("type", "").lower() == "hidden")
+                or (name == "dialog" and "open" not in attributes)
+            )
+        self.hidden = self.hidden or bool(attributes.get("style") and _CSS_HIDDEN.search(attributes["style"]))
+
+    def holds(self) -> str:
+        """The ``space`` of the elements that begin in this one."""
+        if self.space and (
+            self.name in HTML_WITHIN[self.space]
+            or (
+                self.name == "annotation-xml"
+                and self.attributes.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+            )
+        ):
+            return ""
+        return self.space
 
 
 def attributes_of(rest: str) -> dict[str, str]:
@@ -97,8 +153,12 @@ def attributes_of(rest: str) -> dict[str, str]:
     return found
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """``text``, ``start`` and ``end`` tokens: kind, name or text, attributes."""
+def tokens(page: str, open_: list[Node]) -> Iterator[tuple[str, str, str]]:
+    """``text``, ``start`` and ``end`` tokens: kind, name or text, attributes.
+
+    ``open_`` are the open elements, which the caller keeps: in drawings and
+    formulas a tag has no raw text and CDATA sections are text.
+    """
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -109,13 +169,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             yield "text", page[at : m.start()], ""
         at = m.end()
         if not m["name"]:
+            if open_[-1].space and page.startswith("<![CDATA[", m.start()):
+                stop = page.find("]]>", m.start())
+                yield "raw", page[m.start() + 9 : stop if stop >= 0 else n], ""
+                at = stop + 3 if stop >= 0 else n
             continue
         name = m["name"].lower()
         if m["end"]:
             yield "end", name, ""
             continue
         yield "start", name, m["rest"]
-        if name in RAW:
+        if name in RAW and not open_[-1].space:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.IGNORECASE).search(page, at)
             stop = close.start() if close else n
             yield "raw", page[at:stop], name
@@ -126,6 +190,7 @@ def tree(page: str) -> Node:
     """The tree of a page, with implied ends of elements, bodies and table rows."""
     root = Node("#root", {})
     open_: list[Node] = [root]
+    tables = False
 
     def close(names: frozenset[str], stop: frozenset[str]) -> None:
         """Close the innermost open element of ``names`` that no element of ``stop`` shields."""
@@ -136,16 +201,52 @@ def tree(page: str) -> Node:
             if open_[k].name in stop:
                 return
 
-    for kind, value, rest in tokens(page):
+    def around() -> int:
+        """Place of the open table in which what comes next is outside of cells and captions; 0 for none."""
+        for k in range(len(open_) - 1 if tables else 0, 0, -1):
+            if not open_[k].space:
+                if open_[k].name == "table":
+                    return k
+                if open_[k].name in ("td", "th", "caption", "template"):
+                    return 0
+        return 0
+
+    def put(child: Node | str) -> None:
+        """Add to the open element; what may not stand in a table goes before it."""
+        top = open_[-1]
+        if top.name in TABLE and not top.space and (k := around()):
+            if isinstance(child, str):
+                away = bool(child.strip(" \t\n\r\f"))
+            else:
+                away = child.name not in TABLE and child.name != "col"
+            if away:
+                # an open table is the last child of its parent
+                open_[k - 1].children.insert(-1, child)
+                return
+        top.children.append(child)
+
+    def leave_foreign() -> None:
+        while open_[-1].holds():
+            open_.pop()
+
+    for kind, value, rest in tokens(page, open_):
         top = open_[-1]
         if kind == "raw":
-            top.children.append(unescape(value) if rest in ("title", "textarea") else value)
+            put(unescape(value) if rest in ("title", "textarea") else value)
         elif kind == "text":
             if top.name == "head" and value.strip():
                 close(frozenset(["head"]), frozenset())
-                top = open_[-1]
-            top.children.append(unescape(value) if "&" in value else value)
+            put(unescape(value) if "&" in value else value)
         elif kind == "start":
+            if top.holds():
+                if value in BREAKOUT or (value == "font" and re.search(r"(?i)\b(?:color|face|size)\b", rest)):
+                    leave_foreign()
+                else:
+                    node = Node(value, attributes_of(rest) if rest and not rest.isspace() else {}, top.holds())
+                    top.children.append(node)
+                    if not _EMPTY.search(rest) and len(open_) < MAX_DEPTH:
+                        open_.append(node)
+                    continue
             if value == "image":
                 value = "img"
             if value not in IN_HEAD:
@@ -156,18 +257,30 @@ def tree(page: str) -> Node:
                 close(frozenset(["p"]), SCOPE)
             if value in CLOSES:
                 close(*CLOSES[value])
+            if k := around():
+                if value in STANDS_IN:
+                    while open_[-1].name not in STANDS_IN[value] or open_[-1].space:
+                        open_.pop()
+                elif value == "table":
+                    del open_[k:]
+                elif value == "form":  # has no content in a table
+                    continue
+            tables = tables or value == "table"
             if value in ("td", "th") and open_[-1].name in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr", {})
                 open_[-1].children.append(row)
                 open_.append(row)
-            node = Node(value, attributes_of(rest) if rest and not rest.isspace() else {})
-            open_[-1].children.append(node)
-            if value not in VOID and len(open_) < MAX_DEPTH:
+            space = value if value in ("svg", "math") else ""
+            node = Node(value, attributes_of(rest) if rest and not rest.isspace() else {}, space)
+            put(node)
+            if value not in VOID and len(open_) < MAX_DEPTH and not (space and _EMPTY.search(rest)):
                 open_.append(node)
         elif value == "br":
-            top.children.append(Node("br", {}))
+            leave_foreign()
+            put(Node("br", {}))
         elif value == "p" and not any(x.name == "p" for x in open_):
-            top.children.append(Node("p", {}))
+            leave_foreign()
+            put(Node("p", {}))
         elif value not in ("html", "body"):
             close(frozenset([value]), _reach(value))
     return root
@@ -264,7 +377,11 @@ def _render(node: Node, out: Layout, raw: bool, depth: int) -> None:
         if child.hidden:
             continue
         name = child.name
-        if name == "br":
+        if child.space == "svg":
+            _render_svg(child, out, raw, depth, False)
+        elif child.space:
+            _render_math(child, out, raw, depth)
+        elif name == "br":
             out.line_break()
         elif name == "hr":
             out.block(1)
@@ -303,28 +420,83 @@ def _render(node: Node, out: Layout, raw: bool, depth: int) -> None:
             _render(child, out, raw or name in PREFORMATTED, depth)
 
 
+def _render_svg(node: Node, out: Layout, raw: bool, depth: int, shown: bool) -> None:
+    """Texts of a drawing, each on a line of its own; other characters in it are not drawn."""
+    for child in node.children:
+        if isinstance(child, str):
+            if shown:
+                (out.raw if raw else out.text)(child)
+        elif child.hidden:
+            continue
+        elif child.name == "foreignobject":
+            out.block(0)
+            _render(child, out, raw, depth)
+            out.block(0)
+        elif child.name == "text":
+            out.block(0)
+            _render_svg(child, out, raw, depth, True)
+            out.block(0)
+        else:
+            _render_svg(child, out, raw, depth, shown)
+
+
+def _render_math(node: Node, out: Layout, raw: bool, depth: int) -> None:
+    """A formula in a line, its rows as lines; cells and the parts of a fraction stand apart."""
+    if node.name in HTML_WITHIN["math"]:
+        _render(node, out, raw, depth)
+        return
+    apart = node.name in ("mfrac", "mtr", "mlabeledtr")
+    block = node.name in ("mtr", "mlabeledtr") or (node.name == "math" and node.attributes.get("display") == "block")
+    if block:
+        out.block(0)
+    for child in node.children:
+        if isinstance(child, str):
+            (out.raw if raw else out.text)(child)
+            continue
+        if not child.hidden:
+            if apart:
+                out.text(" ")
+            if child.space == "math":
+                _render_math(child, out, raw, depth)
+            else:
+                _render(_wrapped(child), out, raw, depth)
+        if node.name in ("semantics", "maction"):
+            break  # the others are notes and what an action shows
+    if block:
+        out.block(0)
+
+
+def _wrapped(*children: Node | str) -> Node:
+    node = Node("#stray", {})
+    node.children += children
+    return node
+
+
 def _rows(node: Node) -> Iterator[Node]:
     for child in node.children:
         if isinstance(child, Node) and not child.hidden:
             if child.name == "tr":
                 yield child
-            elif child.name in ("tbody", "thead", "tfoot"):
+            elif child.name in GROUPS:
                 yield from _rows(child)
 
 
+def _stray(node: Node) -> Iterator[Node | str]:
+    """What a table or a group of rows holds besides rows."""
+    for child in node.children:
+        if isinstance(child, str) or child.name not in ("tr", "col", "colgroup", *GROUPS):
+            yield child
+        elif child.name != "tr" and not child.hidden:
+            yield from _stray(child)
+
+
 def _render_table(node: Node, out: Layout, depth: int) -> None:
     """Rows as lines, cells in columns two spaces apart; a cell of several lines makes its row taller.
 
-    What stands in a table outside its rows comes before it, as in a browser.
+    The caption comes before the rows, and what the tree left outside of them.
     """
     out.block(1)
-    stray = Node("#stray", {})
-    for child in node.children:
-        if isinstance(child, str):
-            stray.children.append(child)
-        elif child.name == "caption" or child.name not in ("tr", "tbody", "thead", "tfoot", "colgroup", "col"):
-            stray.children.append(child)
-    _render(stray, out, False, depth)
+    _render(_wrapped(*_stray(node)), out, False, depth)
     out.block(0)
     grid: list[list[list[str]]] = []
     for row in _rows(node):

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from quaywise.llm import html
@@ -46,6 +49,47 @@ def test_rendering(page):
     assert html.page_text(page) == CASES[page]
 
 
+#: Text outside of cells, drawings, formulas and dialogs.
+ANYWHERE = {
+    "<table><tbody><form><tr><td>a</td></tr></form></tbody></table>": "a",
+    "<table><form hidden><tr><td>a<td>b</tr></form><tr><td>c</table>": "a  b\nc",
+    "<table><tbody>note<tr><td>a</table>": "note\n\na",
+    "<table><tbody><tr>loose<td>a</tr>after</table>b": "looseafter\n\na\n\nb",
+    "<table><tbody><div>d<tr><td>a<td>b</div></table>": "d\n\na  b",
+    "<table><tr><td>a</td><span>s<td>b</span></table>": "s\n\na  b",
+    "<table><colgroup><col>c<tr><td>a</table>": "c\n\na",
+    "<table hidden>shown<tr><td>no</table>": "shown",
+    "<table><tbody hidden>shown<tr><td>no<tbody><tr><td>a</table>": "shown\n\na",
+    "<table><tr><td>a<table><tbody>i<tr><td>b</table></table>c": "ai\nb\n\nc",
+    "<table>x<table><tr><td>y</table>z": "x\n\ny\n\nz",
+    "a<svg><title>no</title><g><text>one <tspan>two</tspan></text></g>no<text>3</text></svg>b": "a\none two\n3\nb",
+    "<svg><title/><style/><path d='M/'/><defs><text>no</text></defs><text x=1>yes</text></svg>z": "yes\nz",
+    "<svg><rect width=5/><text display=none>no</text><text><![CDATA[a > b]]></text></svg>c": "a > b\nc",
+    "<svg><foreignObject><p>in <b>html</b></p></foreignObject></svg>x": "in html\n\nx",
+    "<svg><text>a<p>b</p>c": "a\n\nb\n\nc",
+    "<svg>" + "<path/>" * 400 + "<text>a</text></svg>b": "a\nb",
+    "so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>.": "so x= 1 2.",
+    "<math><semantics><mi>y</mi><annotation>no</annotation></semantics><mphantom><mi>no</mi></mphantom></math>z": "yz",
+    "<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd></mtr></mtable></math>": "1 2\n3",
+    "<dialog>no</dialog><dialog open>yes</dialog>x": "yes\nx",
+}
+
+
+@pytest.mark.parametrize("page", ANYWHERE)
+def test_text_anywhere(page):
+    assert html.page_text(page) == ANYWHERE[page]
+
+
+def test_no_word_is_lost_in_tables():
+    rng = random.Random(3)
+    parts = ["<table>", "<tbody>", "<tr>", "<td>", "<form>", "<div>", "<b>", "<caption>", "<colgroup>", "</table>", "</tr>", "</td>", "</div>", "</form>", "</tbody>", "<p>", "<svg><text>", "</svg>"]
+    for _ in range(1000):
+        page = "".join(rng.choice(parts) + (f" w{k} " if rng.random() < 0.5 else "") for k in range(30))
+        words = set(re.findall(r"w\d+", re.sub(r"</?svg>|<text>", "", page)))
+        found = re.findall(r"w\d+", html.page_text(page))
+        assert len(found) == len(set(found)) and set(found) == words, page
+
+
 def test_long_and_deep_pages():
     deep = "<div>" * 5000 + "x" + "</div>" * 5000 + "y"
     assert html.page_text(deep).split() == ["x", "y"]
