@@ -6,15 +6,20 @@ probabilities are the mean over all of its bytes. Gates and candidates use the
 softsign ``x / (1 + |x|)`` in place of tanh, which needs no exponential.
 
 The network is trained in numpy, by backpropagation through time, on the
-driver. Its input is bounded: ``PER_LABEL`` documents of at most ``MAX_LABELS``
-languages, an excerpt of ``EXCERPT`` characters of each, whatever the corpus
-holds. Prediction reads every byte of every text, on the executors.
+driver. It learns every language of the training rows, from ``PER_LABEL``
+documents of each, and from fewer of each beyond ``FULL_LABELS`` languages, so
+that their number stays the same however large the corpus is (one of each
+language at least), with an excerpt of ``EXCERPT`` characters of each. The
+states and the steps of training grow with the languages beyond that number.
+Prediction reads every byte of every text, on the executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +31,11 @@ from pyspark.sql import types as T
 from quaywise.llm.common import byte_texts, map_batches, remainder, slices, table, with_fields
 
 UNKNOWN = "und"
-#: Bounds of the training rows.
-MAX_LABELS, PER_LABEL, EXCERPT = 32, 300, 1500
+#: Bounds of the training rows; beyond so many languages there are fewer of each.
+FULL_LABELS, PER_LABEL, EXCERPT = 32, 300, 1500
 #: Training.
 HIDDEN, TRAIN_BYTES, BATCH, STEPS, RATE, SEED = 8, 48, 192, 300, 0.02, 11
-#: Bytes of a window in prediction, and windows that run side by side.
+#: Bytes of a window in prediction, and windows that run side by side (fewer with more than FULL_LABELS languages).
 WINDOW, WIDTH = 128, 2048
 #: Least probability at which a filter keeps a document.
 MIN_SCORE = 0.4
@@ -131,17 +136,22 @@ def gradients(model: Model, data: np.ndarray, target: np.ndarray) -> tuple[float
     return loss, [*d_in, *d_st, d_out, p.sum(axis=(0, 1))]
 
 
-def train(rows: list[tuple[str, bytes]], steps: int = STEPS, seed: int = SEED) -> Model | None:
-    """A model of the labelled texts; None without any text as long as one byte."""
+def train(rows: list[tuple[str, bytes]], steps: int | None = None, seed: int = SEED) -> Model | None:
+    """A model of the labelled texts; None without any text as long as one byte.
+
+    Steps are in proportion to the languages and states to their root, from ``FULL_LABELS`` on.
+    """
     rng = np.random.default_rng(seed)
     rows = sorted((label, text) for label, text in rows if text)
     labels = sorted({label for label, _ in rows})
     if not labels:
         return None
-    model = new_model(labels, rng)
+    more = max(1.0, len(labels) / FULL_LABELS)
+    steps = steps or int(STEPS * more)
+    model = new_model(labels, rng, HIDDEN * int(np.ceil(np.sqrt(more))))
     texts = {
-        label: np.frombuffer(b"".join(t.ljust(TRAIN_BYTES) + b"\n" for x, t in rows if x == label), "u1")
-        for label in labels
+        label: np.frombuffer(b"".join(t.ljust(TRAIN_BYTES) + b"\n" for _, t in some), "u1")
+        for label, some in groupby(rows, key=itemgetter(0))
     }
     arrays = model.arrays()
     first, second = ([np.zeros_like(a) for a in arrays] for _ in range(2))
@@ -222,8 +232,9 @@ class Reader:
         start = np.minimum(nth * WINDOW, held[doc] - WINDOW)
         total = np.zeros((len(texts), len(self.model.labels)))
         steps = np.arange(WINDOW)[:, None]
-        for at in range(0, len(doc), WIDTH):
-            part = slice(at, at + WIDTH)
+        width = max(1, int(WIDTH / max(1.0, len(self.model.labels) / FULL_LABELS)))
+        for at in range(0, len(doc), width):
+            part = slice(at, at + width)
             place = start[part] + steps
             p = self.positions(data[place + begin[doc[part]]])
             p *= ((place >= nth[part] * WINDOW) & (place < sizes[doc[part]]))[:, None, :]
@@ -240,11 +251,12 @@ def training_rows(docs: DataFrame) -> DataFrame:
     labelled = docs.select(
         F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 4) != 2))
-    by_size = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LABELS)
+    languages = labelled.select("lang").distinct().count()
+    per_label = max(1, PER_LABEL * FULL_LABELS // max(languages, FULL_LABELS))
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        labelled.select("doc_id", "lang").join(F.broadcast(by_size.select("lang")), "lang", "left_semi")
-        .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PER_LABEL)
+        labelled.select("doc_id", "lang")
+        .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label)
         .select("doc_id", "lang").distinct()
     )
     rest = F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1

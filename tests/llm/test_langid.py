@@ -58,6 +58,33 @@ def test_held_out_accuracy(spark):
     assert all(r.lang_pred == given[r.doc_id][2] and 0.5 < r.score <= 1 for r in held)
 
 
+def test_rare_ones_of_many_languages(spark):
+    """Forty languages, the last eight of them with fewer rows than the others."""
+    rng = random.Random(5)
+    letters = ("abcdefghijklmnopqrstuvwxyzäöüéèçñåøßžščő", "абвгдежзийклмнопрстуфхцчшщыэюя")
+    given = []
+    for k in range(40):
+        syllables = ["".join(rng.choice(letters[k % 2]) for _ in range(rng.randint(1, 3))) for _ in range(14)]
+        for _ in range(24 if k < 32 else 16):
+            words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(100)]
+            given.append((len(given), " ".join(words), f"l{k:02d}", "s"))
+    docs = documents(spark, given)
+    held = [r for r in langid.identify(docs).collect() if r.held_out]
+    rare = [r for r in held if given[r.doc_id][2] >= "l32"]
+    assert len(rare) > 20 and all(r.lang_pred == given[r.doc_id][2] for r in rare)
+    assert sum(r.lang_pred == given[r.doc_id][2] for r in held) >= 0.98 * len(held)
+    assert langid.keep_known(docs).count() >= 0.98 * len(given)
+
+
+def test_rows_of_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FULL_LABELS", 2)
+    monkeypatch.setattr(langid, "PER_LABEL", 6)
+    given = [(i, f"text {i}", f"l{i % 4}", "s") for i in range(200)] + [(200, "text", "rare", "s"), (204, "text", "rare", "s")]
+    found = [r.lang for r in langid.training_rows(documents(spark, given)).collect()]
+    assert {x: found.count(x) for x in found} == {"l0": 2, "l1": 2, "l2": 2, "l3": 2, "rare": found.count("rare")}
+    assert 1 <= found.count("rare") <= 2
+
+
 def test_held_out_labels_are_not_read(spark):
     given = [(i, t, lang if crc_remainder(i, 4) != 2 else "xx", s) for i, t, lang, s in rows()[:60]]
     assert {r.lang for r in langid.training_rows(documents(spark, given)).collect()} == {"en", "de", "fr"}
