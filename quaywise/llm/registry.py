@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaywise.llm import chat, html, langid, lines, neighbours, ngrams, packing, pieces, quality, simhash
+from quaywise.llm import (
+    chat,
+    clusters,
+    html,
+    langid,
+    lines,
+    neighbours,
+    ngrams,
+    notices,
+    packing,
+    pieces,
+    quality,
+    repair,
+    simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +37,16 @@ def queries() -> dict[str, Query]:
         "op8_pack_ffd": packing.op8_pack_ffd,
         "op9_kneser_ney": ngrams.op9_kneser_ney,
         "op10_posting_lists": neighbours.op10_posting_lists,
+        "op11_repair_agenda": repair.op11_repair_agenda,
+        "op12_subvector_dictionary": clusters.op12_subvector_dictionary,
+        "op13_fuzzy_notices": notices.op13_fuzzy_notices,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op2_chat_tokens": chat.ORACLE, "op3_line_windows": lines.ORACLE}
+    return {
+        "op2_chat_tokens": chat.ORACLE,
+        "op3_line_windows": lines.ORACLE,
+        "op12_subvector_dictionary": clusters.ORACLE,
+    }
