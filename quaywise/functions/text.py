@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented lower-case letters and the letters they fold to.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyy"
-LIGATURES = (("œ", "oe"), ("æ", "ae"), ("ß", "ss"))
+#: Compares letters without case and accents, composed or not, in every alphabet.
+COLLATION = "UNICODE_CI_AI"
+#: Letters that the collation keeps apart from the letters they are written with. Fixed values.
+LETTERS = (("œ", "oe"), ("æ", "ae"), ("ø", "o"), ("ł", "l"), ("đ", "d"))
 
 
 def station_key(name: Column) -> Column:
@@ -21,9 +21,9 @@ def line_key(name: Column) -> Column:
     return F.replace(F.lower(name), F.lit(" "), F.lit(""))
 
 
-def fold(name: Column) -> Column:
-    """Lower case without accents."""
-    folded = F.translate(F.lower(name), ACCENTED, UNACCENTED)
-    for ligature, letters in LIGATURES:
-        folded = F.replace(folded, F.lit(ligature), F.lit(letters))
-    return folded
+def folded(name: Column) -> Column:
+    """The name as a key that is equal without case and accents; joins hash it as any other."""
+    key = F.lower(name)
+    for letter, plain in LETTERS:
+        key = F.replace(key, F.lit(letter), F.lit(plain))
+    return F.collate(key, COLLATION)

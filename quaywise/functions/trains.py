@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,40 +37,54 @@ NOT_A_NUMBER = "Numéro non numérique – non décodable"
 OUT_OF_RANGE = "Numéro inconnu ou hors plage"
 
 
-def decode_train(number: Column) -> dict[str, Column]:
-    """Attribute columns of a train number given as text."""
+#: Numbers of one bin of the join between numbers and bands.
+BIN = 1000
+ATTRIBUTES = (
+    "type_train", "categorie_service", "axe_geographique", "region_origine", "vitesse_max_kmh",
+)
+BAND_SCHEMA = (
+    "low bigint, high bigint, type_train string, categorie_service string, axe_geographique string, "
+    "region_origine string, vitesse_max_kmh int"
+)
+
+
+def bands(spark: SparkSession, given: Sequence[Band] = BANDS) -> DataFrame:
+    """The bands as a table."""
+    return spark.createDataFrame([tuple(b) for b in given], BAND_SCHEMA)
+
+
+def binned(table: DataFrame) -> DataFrame:
+    """Each band once for every bin it touches, so that a range is found by an equal bin."""
+    touched = F.sequence(F.floor(F.col("low") / BIN), F.floor(F.col("high") / BIN))
+    return table.withColumn("bin", F.explode(touched))
+
+
+def decoded(rows: DataFrame, column: str, table: DataFrame | None = None) -> DataFrame:
+    """``rows`` with what the train number in ``column`` (text) says of the train.
+
+    Bands come from a table of the columns of :data:`BAND_SCHEMA`; its bins are
+    joined by equality and the range is checked within the bin. Bands must not
+    overlap (``checks.overlapping_bands``): of those that do, each gives a row.
+    """
+    number = F.col(column)
     digits = number.rlike("^[0-9]+$")
     # numbers too long for a bigint are outside every band anyway
     value = F.when(digits, number.try_cast("bigint"))
-
-    def per_band(pick, data_type: str) -> Column:
-        out = None
-        for band in BANDS:
-            picked = F.lit(pick(band)).cast(data_type)
-            hit = value.between(band.low, band.high)
-            out = F.when(hit, picked) if out is None else out.when(hit, picked)
-        return out
-
-    in_a_band = None
-    for band in BANDS:
-        hit = value.between(band.low, band.high)
-        in_a_band = hit if in_a_band is None else in_a_band | hit
     even = F.substring(number, -1, 1).isin("0", "2", "4", "6", "8")
     nothing = F.lit(None).cast("string")
-    return {
-        "sens_circulation": F.when(digits & even, "Pair").when(digits, "Impair"),
-        "type_train": per_band(lambda b: b.type_train, "string"),
-        "sous_type": nothing,
-        "categorie_service": per_band(lambda b: b.categorie_service, "string"),
-        "axe_geographique": per_band(lambda b: b.axe_geographique, "string"),
-        "region_origine": per_band(lambda b: b.region_origine, "string"),
-        "vitesse_max_kmh": per_band(lambda b: b.vitesse_max_kmh, "int"),
-        "plage_numero": per_band(lambda b: f"{b.low}–{b.high}", "string"),
-        "code_mission": nothing,
-        "origine_mission": nothing,
-        "destination_mission": nothing,
-        "periode_service": nothing,
-        "commentaire": F.when(~digits, NOT_A_NUMBER)
-        .when(F.coalesce(in_a_band, F.lit(False)), "")
-        .otherwise(OUT_OF_RANGE),
-    }
+    ranges = binned(bands(rows.sparkSession) if table is None else table)
+    ranges = ranges.withColumn("plage_numero", F.concat(F.col("low").cast("string"), F.lit("–"), "high"))
+    valued = rows.withColumn("_value", value).withColumn("_bin", F.floor(F.col("_value") / BIN))
+    found = valued.join(
+        ranges, (F.col("_bin") == F.col("bin")) & F.col("_value").between(F.col("low"), F.col("high")), "left"
+    )
+    return found.select(
+        *rows.columns,
+        F.when(digits & even, "Pair").when(digits, "Impair").alias("sens_circulation"),
+        "type_train",
+        nothing.alias("sous_type"),
+        *ATTRIBUTES[1:],
+        "plage_numero",
+        *(nothing.alias(c) for c in ("code_mission", "origine_mission", "destination_mission", "periode_service")),
+        F.when(~digits, NOT_A_NUMBER).when(F.col("low").isNotNull(), "").otherwise(OUT_OF_RANGE).alias("commentaire"),
+    )

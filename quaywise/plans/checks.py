@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,18 @@ def orphans(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> Dat
 def repeated(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once."""
     return rows.groupBy(*key).count().where(F.col("count") > 1)
+
+
+def overlapping_bands(bands: DataFrame) -> DataFrame:
+    """Bands (``low`` to ``high``, both inside) that share numbers with an earlier one."""
+    before = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    # a table of bands is a referential of some rows
+    return bands.withColumn("reached", F.max("high").over(before)).where(F.col("low") <= F.col("reached"))
+
+
+def missing_bands(bands: DataFrame) -> DataFrame:
+    """Ranges between the first and the last band that no band holds."""
+    before = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    reached = bands.withColumn("reached", F.max("high").over(before))
+    gaps = reached.where(F.col("low") > F.col("reached") + 1)
+    return gaps.select((F.col("reached") + 1).alias("low"), (F.col("low") - 1).alias("high"))

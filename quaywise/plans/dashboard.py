@@ -297,11 +297,11 @@ def _placed_stations(
     """Stations with their département, names compared without case and accents."""
     places = _only(tables["ods/ref_departements"], "code_region", region)
     places = _only(places, "code_departement", departement).select(
-        text.fold(F.col("nom_departement")).alias("_place")
+        text.folded(F.col("nom_departement")).alias("_place")
     )
-    stations = tables["dwh/d_station"].withColumn("_place", text.fold(F.col("departement")))
+    stations = tables["dwh/d_station"].withColumn("_place", text.folded(F.col("departement")))
     if commune is not None and commune != ALL:
-        stations = stations.where(text.fold(F.col("commune")) == text.fold(F.lit(commune)))
+        stations = stations.where(text.folded(F.col("commune")) == text.folded(F.lit(commune)))
     return stations.join(places, "_place").drop("_place")
 
 

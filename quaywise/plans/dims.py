@@ -102,13 +102,8 @@ def new_vehicules(staged_trips: DataFrame, target: DataFrame) -> DataFrame:
     fresh = rows_to_insert(
         target, rows, ["num_vehicule"], [F.col("production_date"), F.col("trip_id")]
     )
-    decoded = trains.decode_train(F.col("num_vehicule"))
-    return fresh.select(
-        "num_vehicule",
-        "categorie_vehicule",
-        "vehicule_mode",
-        *[c.alias(name) for name, c in decoded.items()],
-    )
+    kept = fresh.select("num_vehicule", "categorie_vehicule", "vehicule_mode")
+    return trains.decoded(kept, "num_vehicule")
 
 
 # --- lines -----------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -61,27 +62,36 @@ def new_vehicules(staged: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+STOP_KEY = ("trip_id", "stop_name")
+
+
 def new_stops(
-    staged: DataFrame, trips: DataFrame, target: DataFrame, since: date | None
+    staged: DataFrame,
+    trips: DataFrame,
+    target: DataFrame,
+    since: date | None,
+    unseen: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Stops not seen before, once for each day their trip runs.
 
-    A (trip, stop name) already stored for any day is never added again. Staged
-    rows are made unique before the join with the trips: a trip with very many
-    staged rows is spread by its stop names, and what reaches the join is at
-    most one row for each stop name of a trip.
+    A (trip, stop name) already stored for any day is never added again:
+    ``target`` holds the stored stops, or some days of them if ``unseen`` keeps
+    back the keys of all others. Staged rows are made unique before the join
+    with the trips: a trip with very many staged rows is spread by its stop
+    names, and what reaches the join is at most one row for each stop name of a
+    trip.
     """
     order = [F.col("production_date"), F.col("call_index")]
     order += [
         F.col(c)
         for c in ("aimed_arrival", "expected_arrival", "aimed_departure", "expected_departure")
     ]
-    fresh = rows_to_insert(target, staged, ["trip_id", "stop_name"], order)
+    fresh = rows_to_insert(target, staged, list(STOP_KEY), order)
     running = trips.select("trip_id", "ref_date")
     if since is not None:
         running = running.where(F.col("ref_date") >= times.day(since))
     # neither side is ever broadcast
-    return fresh.join(running.hint("merge"), "trip_id").select(
+    rows = fresh.join(running.hint("merge"), "trip_id").select(
         "trip_id",
         "stop_name",
         *[
@@ -95,6 +105,7 @@ def new_stops(
         "production_date",
         "ref_date",
     )
+    return unseen(rows) if unseen else rows
 
 
 def latest_stops(stored: DataFrame, newer: DataFrame) -> DataFrame:

@@ -7,23 +7,20 @@ completed by running it again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quaywise.functions.times import day, days_before, key_of
+from quaywise.operators.known import KnownKeys
 from quaywise.plans import dims, facts, ods
+from quaywise.session import together
 from quaywise.sources.tables import Tables
 
 
-#: Days for which a stored stop keeps its (trip, name) from being added again.
-KNOWN_DAYS = 30
-
-
 @dataclass(frozen=True)
 class Window:
     """How far back each load reaches; None stands for all days."""
@@ -34,20 +31,15 @@ class Window:
     lines_after: date | None = None
     facts: date | None = None
     metrics: date | None = None
-    # a stop stored before this day no longer keeps its (trip, name) from being
-    # added again; None compares with the whole history
-    known: date | None = None
 
     @classmethod
-    def rolling(cls, as_of: datetime, known_days: int | None = KNOWN_DAYS) -> Window:
+    def rolling(cls, as_of: datetime) -> Window:
         """The windows of the periodic refresh.
 
         New stops run on these days, so no other day can bring a new station
         name; after a reload of the station referential run
-        ``refresh_dims(tables, Window.history())`` once. Trip ids contain their
-        date and do not come back after ``known_days``, so older days of stops
-        are not opened; for feeds that use their ids again for longer, give a
-        larger number, or None to compare with the whole history.
+        ``refresh_dims(tables, Window.history())`` once. Stops of earlier days
+        are not opened: their keys are held by :func:`stop_keys`.
         """
         return cls(
             trips=days_before(as_of, 0),
@@ -56,7 +48,6 @@ class Window:
             lines_after=days_before(as_of, 2),
             facts=days_before(as_of, 1),
             metrics=days_before(as_of, 1),
-            known=None if known_days is None else days_before(as_of, known_days),
         )
 
     @classmethod
@@ -69,13 +60,6 @@ def _days_from(rows: DataFrame, since: date | None) -> DataFrame:
     return rows if since is None else rows.where(F.col("ref_date") >= day(since))
 
 
-def together(*loads: Callable[[], None]) -> None:
-    """Loads that do not depend on each other share the cluster."""
-    with ThreadPoolExecutor(len(loads)) as pool:
-        for done in [pool.submit(load) for load in loads]:
-            done.result()
-
-
 def init_calendar(tables: Tables) -> None:
     """Date and time dimensions, with the public holidays of every year."""
     spark = tables.spark
@@ -104,19 +88,51 @@ def load_referentials(
     )
 
 
+def stop_keys(tables: Tables) -> KnownKeys:
+    """The (trip, stop name) of all days that periodic loads add nothing to any more."""
+    key = StructType([tables["ods/stops"].schema[c] for c in ods.STOP_KEY])
+    return KnownKeys(tables.spark, tables.path("ods/stops_known"), key)
+
+
+def settle_stops(tables: Tables, since: date) -> KnownKeys:
+    """Hold the keys of the days before ``since`` that are not held yet.
+
+    A refresh for an earlier time than the last one begins anew, as it may add
+    to days that are held.
+    """
+    known, last = stop_keys(tables), since - timedelta(days=1)
+    through = known.through
+    if through is not None and through > last:
+        known.forget()
+        through = None
+    if through is None or through < last:
+        days = F.col("ref_date") <= day(last)
+        if through is not None:
+            days = days & (F.col("ref_date") > day(through))
+        known.add(tables["ods/stops"].where(days), last)
+    return known
+
+
+def _new_stops(tables: Tables, since: date | None) -> DataFrame:
+    """Staged stops not stored for any day.
+
+    With a window, days that can still get rows are compared with directly and
+    all others by their keys; without one, which may add to any day, all days
+    are opened and the keys are held anew by the next periodic refresh.
+    """
+    staged, trips, stored = tables["dsa/stops"], tables["ods/trips"], tables["ods/stops"]
+    if since is None:
+        stop_keys(tables).forget()
+        return ods.new_stops(staged, trips, stored, None)
+    known = settle_stops(tables, since)
+    return ods.new_stops(staged, trips, _days_from(stored, since), since, known.absent)
+
+
 def refresh_ods(tables: Tables, window: Window) -> None:
     staged = tables["dsa/trips"]
 
     def stops() -> None:
-        tables.append(
-            "ods/stops",
-            ods.new_stops(
-                tables["dsa/stops"],
-                tables["ods/trips"],
-                _days_from(tables["ods/stops"], window.known),
-                window.stops,
-            ),
-        )
+        tables.append("ods/stops", _new_stops(tables, window.stops))
 
     tables.append("ods/trips", ods.new_trips(staged, tables["ods/trips"], window.trips))
     together(

@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywise.functions import times
-from quaywise.operators import merge
+from quaywise.operators import merge, parts
 from quaywise.plans import dashboard, dims, facts, forecast, kpi, ods, refresh
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 from quaywise.session import scratch_path
 from quaywise.sources import gtfs, messages, objects, referentials, sample, siri
 from quaywise.sources.tables import Tables
+from quaywise.streaming import latest, upserts
 from quaywise.streaming import trips as streams
+from quaywise.streaming.batches import Batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,16 +106,20 @@ def _d_station(tables: Tables) -> DataFrame:
 # --- loads -----------------------------------------------------------------
 
 
-def _insert_if_absent(tables: Tables) -> DataFrame:
-    """What a second feed would add to the stops: its trips run a day later, and
-    half of its stop names are new."""
-    staged = tables["dsa/stops"]
+def _renamed(staged: DataFrame) -> DataFrame:
+    """Stops of a feed an hour later, in which half of the names are new."""
     renamed = F.when(
         F.col("call_index") % 2 == 0, F.concat("stop_name", F.lit(" bis"))
     ).otherwise(F.col("stop_name"))
-    feed = staged.withColumn("stop_name", renamed).withColumn(
+    return staged.withColumn("stop_name", renamed).withColumn(
         "production_date", times.shift_hours(F.col("production_date"), 1)
     )
+
+
+def _insert_if_absent(tables: Tables) -> DataFrame:
+    """What a second feed would add to the stops: its trips run a day later, and
+    half of its stop names are new."""
+    feed = _renamed(tables["dsa/stops"])
     added = ods.new_stops(feed, tables["ods/trips"], tables["ods/stops"], None)
     return added.select(
         "trip_id", "stop_name", "ref_date", "expected_arrival", "expected_departure"
@@ -181,19 +187,37 @@ def _refresh_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
         number = F.count(F.lit(1)) if value is None else F.sum(value)
         return tables[name].groupBy(day.alias("ref_date_tk")).agg(number.alias(out))
 
-    parts = [
+    counts = [
         counted("ods/trips", times.date_key(F.col("ref_date")), "nb_trips"),
         counted("ods/stops", times.date_key(F.col("ref_date")), "nb_stops"),
         counted("dwh/f_trips", F.col("ref_date_tk"), "nb_facts"),
         counted("dwh/f_journey", F.col("ref_date_tk"), "nb_journeys"),
         counted("dwh/f_line_metrics", F.col("ref_date_tk"), "nb_line_journeys", "nb_journey"),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.join(part, "ref_date_tk", "full")
+    result = counts[0]
+    for one in counts[1:]:
+        result = result.join(one, "ref_date_tk", "full")
     return result.fillna(0)
 
 
+def _refresh_reused_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops after a feed used its trip ids again sixty days later.
+
+    Half of the stop names of the second feed are new; the others were stored
+    long before the days that its periodic refresh opens.
+    """
+    source = warehouse(spark, sf_dir)
+    tables = Tables(spark, scratch_path(spark, "reused"))
+    trips, stops = source["dsa/trips"], source["dsa/stops"]
+    left = F.col("departure_time").cast("timestamp_ntz")
+    earlier = times.shift_hours(left, -24 * 60).cast("string")
+    refresh.load_staging(tables, trips.withColumn("departure_time", earlier), stops)
+    refresh.refresh_ods(tables, refresh.Window.rolling(AS_OF - timedelta(days=75)))
+    refresh.load_staging(tables, trips, _renamed(stops))
+    refresh.refresh_ods(tables, refresh.Window.rolling(AS_OF))
+    return tables["ods/stops"].select("trip_id", "stop_name", "ref_date", "expected_arrival")
+
+
 # --- feeds -----------------------------------------------------------------
 
 
@@ -255,7 +279,10 @@ def _message_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gtfs_entities(tables: Tables) -> DataFrame:
-    """Decoded entities, one for each trip and day with the updates of all its stops."""
+    """Decoded entities, one for each trip and day with the updates of its stops.
+
+    Where these are very many they come in several entities, as feeds may send them.
+    """
 
     def event(kind: str):
         seen = F.col(f"expected_{kind}")
@@ -272,11 +299,14 @@ def _gtfs_entities(tables: Tables) -> DataFrame:
         event("arrival").alias("arrival"),
         event("departure").alias("departure"),
     )
-    trips = tables["ods/stops"].groupBy("trip_id", "ref_date", "production_date").agg(
+    stops, of_trip = tables["ods/stops"], ["trip_id", "ref_date", "production_date"]
+    found = parts.sizes(stops, of_trip, messages.PART_STOPS)
+    trips = parts.dealt(stops, found, of_trip, ["stop_name"]).groupBy(*of_trip, "part", "parts").agg(
         F.array_sort(F.collect_list(update)).alias("updates")
     )
+    number = F.when(F.col("parts") > 1, F.concat(F.lit("-"), "part")).otherwise("")
     return trips.select(
-        F.col("trip_id").alias("id"),
+        F.concat("trip_id", number).alias("id"),
         F.struct(
             F.struct(
                 F.col("trip_id"), F.date_format("ref_date", "yyyyMMdd").alias("start_date")
@@ -353,11 +383,11 @@ def _appended(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_appended(spark, sf_dir)}/stops").drop("batch")
+    return Batches(spark, _appended(spark, sf_dir)).read("stops")
 
 
 def _stream_append_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_appended(spark, sf_dir)}/trips").drop("batch")
+    return Batches(spark, _appended(spark, sf_dir)).read("trips")
 
 
 def _trips_and_rejects(good: DataFrame, rejected: DataFrame, trip_in_text: str) -> DataFrame:
@@ -377,7 +407,7 @@ def _trips_and_rejects(good: DataFrame, rejected: DataFrame, trip_in_text: str)
 def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _appended(spark, sf_dir)
     return _trips_and_rejects(
-        spark.read.parquet(f"{root}/trips"), spark.read.parquet(f"{root}/rejects"),
+        Batches(spark, root).read("trips"), Batches(spark, root).read("rejects"),
         '"trip_id":"([^"]+)"',
     )
 
@@ -391,7 +421,24 @@ def _stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
         [feed.unionByName(feed)],
         lambda messages_in: streams.parsed_stream(messages_in, "2 hours"),
     )
-    return spark.read.parquet(f"{root}/stops").drop("batch")
+    return Batches(spark, root).read("stops")
+
+
+def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops of a feed that came in six batches, compacted on the way and at the end.
+
+    A batch that was cut short before its commit has left all of its rows.
+    """
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    feed = _messages(spark, sf_dir)
+    feed.repartition(6).write.text(landing)
+    stream = streams.parsed_stream(streams.file_messages(spark, landing, files_per_batch=1))
+    streams.drain(stream, streams.append_batch(root, compact_every=4), scratch_path(spark, "checkpoint"))
+    batches = Batches(spark, root)
+    _message_stops(spark, sf_dir).write.parquet(batches.path("stops", "000000000099-cut-short"))
+    batches.compact(at_least=2)
+    batches.vacuum()
+    return batches.read("stops")
 
 
 def _gtfs_streamed(spark: SparkSession, sf_dir: str) -> str:
@@ -403,13 +450,13 @@ def _gtfs_streamed(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _stream_gtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_gtfs_streamed(spark, sf_dir)}/stop_updates").drop("batch")
+    return Batches(spark, _gtfs_streamed(spark, sf_dir)).read("stop_updates")
 
 
 def _stream_gtfs_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _gtfs_streamed(spark, sf_dir)
     return _trips_and_rejects(
-        spark.read.parquet(f"{root}/stop_updates"), spark.read.parquet(f"{root}/rejects"),
+        Batches(spark, root).read("stop_updates"), Batches(spark, root).read("rejects"),
         '"id":"([^"]+)"',
     )
 
@@ -431,11 +478,65 @@ def _upserted(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _stream_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/trips").drop("day", "bucket")
+    return upserts.current_rows(spark, f"{_upserted(spark, sf_dir)}/trips").drop("day", "bucket")
 
 
 def _stream_upsert_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_upserted(spark, sf_dir)}/stops").drop("day", "bucket")
+    return upserts.current_rows(spark, f"{_upserted(spark, sf_dir)}/stops").drop("day", "bucket")
+
+
+def _stream_upsert_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and their days after messages that move them, newest first.
+
+    An hour later a third of the trips leave forty days later, and a fifth of
+    them have no readable departure; the messages from before arrive last.
+    """
+    tables = warehouse(spark, sf_dir)
+    trips, stops = tables["dsa/trips"], tables["dsa/stops"].limit(0)
+    number = F.substring("trip_id", 2, 20).cast("bigint")
+    later = times.shift_hours(F.col("production_date"), 1)
+    moved = (
+        F.when(number % 5 == 0, F.lit("soon"))
+        .when(number % 3 == 0, times.shift_hours(F.col("departure_time").cast("timestamp_ntz"), 24 * 40).cast("string"))
+        .otherwise(F.col("departure_time"))
+    )
+    newer = trips.withColumn("production_date", later).withColumn("departure_time", moved)
+    root = _stream(
+        spark,
+        lambda folder: streams.upsert_batch(folder, buckets=2),
+        [messages.trip_messages(newer.where(number % 2 == 0), stops),
+         messages.trip_messages(trips, stops),
+         messages.trip_messages(newer.where(number % 2 == 1), stops)],
+    )
+    return upserts.current_rows(spark, f"{root}/trips").drop("bucket")
+
+
+def _stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest stops as state of a stream: two hours later for some trips, then late messages.
+
+    The second feed is the oldest one; the third, an hour newer, comes for every
+    other trip, and changes nothing for those that had the newest message first.
+    """
+    tables = warehouse(spark, sf_dir)
+    trips, stops = tables["dsa/trips"], tables["dsa/stops"]
+    number = F.substring("trip_id", 2, 20).cast("bigint")
+
+    def feed(hours: int, some) -> DataFrame:
+        produced = times.shift_hours(F.col("production_date"), hours)
+        named = F.concat("departure_platform_name", F.lit(f" {hours}"))
+        own_stops = stops.where(some).withColumn("expected_arrival", named)
+        own_trips = trips.where(some).withColumn("production_date", produced)
+        return messages.trip_messages(own_trips, own_stops.withColumn("production_date", produced))
+
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "state")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for rows in (feed(2, number % 3 == 0), feed(0, number >= 0), feed(1, number % 2 == 0)):
+        rows.select("value").write.mode("append").text(landing)
+        changes = latest.newest_stops(streams.parsed_stream(streams.file_messages(spark, landing)))
+        latest.drain_state(changes, latest.state_batch(path, streams.STOP_KEY, buckets=2), checkpoint)
+    return upserts.current_rows(spark, path).select(
+        "day", "trip_id", "stop_name", "expected_arrival", "production_date"
+    )
 
 
 # --- forecast --------------------------------------------------------------
@@ -609,6 +710,7 @@ def queries() -> dict[str, Query]:
         # load semantics
         "insert_if_absent": t(_insert_if_absent),
         "refresh_rolling": _refresh_rolling,
+        "refresh_reused_ids": _refresh_reused_ids,
         "upsert_metrics": _upsert_metrics,
         "latest_wins_stops": t(_latest_stops),
         "latest_wins_merge": _events_latest,
@@ -676,9 +778,12 @@ def queries() -> dict[str, Query]:
         "gtfs_stop_updates": t(_gtfs_updates),
         "stream_append_stops": _stream_append,
         "stream_append_trips": _stream_append_trips,
+        "stream_compacted_stops": _stream_compacted,
         "stream_rejects": _stream_rejects,
         "stream_upsert_trips": _stream_upsert_trips,
         "stream_upsert_stops": _stream_upsert_stops,
+        "stream_upsert_moved": _stream_upsert_moved,
+        "stream_latest_state": _stream_latest_state,
         "stream_redelivered_stops": _stream_redelivered,
         "stream_gtfs_updates": _stream_gtfs,
         "stream_gtfs_rejects": _stream_gtfs_rejects,

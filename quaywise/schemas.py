@@ -153,7 +153,7 @@ FORECAST = "date timestamp_ntz, predicted_nb_train int, model_name string"
 
 MESSAGE = """
     trip_id string, train string, origin_name string, departure_time string,
-    dest_name string, arrival_time string, production_date string,
+    dest_name string, arrival_time string, production_date string, part int, parts int,
     stops array<struct<trip_id: string, stop_name: string, expected_arrival: string,
         aimed_arrival: string, expected_departure: string, aimed_departure: string,
         is_starting_point: int, is_terminus: int, production_date: string>>

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -63,8 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/quaywise/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def together(*steps: Callable[[], object]) -> None:
+    """Steps that do not depend on each other share the cluster."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def replace_rows(
-    spark: SparkSession, path: str, rows: DataFrame, write: Callable[[DataFrame], None]
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    write: Callable[[DataFrame], None],
+    also: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace stored rows by ``rows`` that were derived from them.
 
@@ -72,10 +84,14 @@ def replace_rows(
     overwrite that fails halfway must not lose rows. So the new rows are written
     next to the table first and marked as complete; then ``write`` puts them in
     place. Whoever comes next finishes a marked copy (:func:`finish_replacing`).
-    ``write`` gives the same table however often it runs. One writer at a time.
+    ``write`` gives the same table however often it runs; ``also`` names rows to
+    add, made from those that were written. One writer at a time.
     """
     copy, mark = f"{path}__next", f"{path}__ready"
     rows.write.mode("overwrite").parquet(copy)
+    if also:
+        more = also(spark.read.schema(rows.schema).parquet(copy))
+        more.write.mode("append").parquet(copy)
     spark.range(1).write.mode("overwrite").parquet(mark)
     finish_replacing(spark, path, write)
 

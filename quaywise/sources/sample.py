@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaywise.functions import times
+from quaywise.operators import parts
 from quaywise.sources.referentials import typed_stations
 from quaywise.sources.siri import ROW_TAG
 
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 PRODUCED = AS_OF - timedelta(hours=1)
+#: Calls of one journey element, about.
+ELEMENT_CALLS = 1000
 
 # Train family for each market segment.
 FAMILIES = {
@@ -241,16 +244,23 @@ def name_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def journeys(trips: DataFrame, stops: DataFrame) -> DataFrame:
-    """Staged rows in the shape of the feed: one row for each journey element."""
+def journeys(trips: DataFrame, stops: DataFrame, element_calls: int = ELEMENT_CALLS) -> DataFrame:
+    """Staged rows in the shape of the feed: one row for each journey element.
+
+    A journey with more than ``element_calls`` calls is several elements of one
+    reference, whose calls name their order.
+    """
 
     def filled(name: str) -> Column:
         return F.nullif(F.col(name), F.lit(""))
 
+    found = parts.sizes(stops, ["trip_id"], element_calls, F.min("call_index").alias("first_call"))
+    order = F.when(F.col("call_index") == F.col("first_call"), 1).otherwise(F.col("call_index") + 1)
     call = F.struct(
         "call_index",
         F.struct(
             filled("stop_name").alias("StopPointName"),
+            F.when(F.col("parts") > 1, order).alias("Order"),
             filled("aimed_arrival").alias("AimedArrivalTime"),
             filled("expected_arrival").alias("ExpectedArrivalTime"),
             filled("aimed_departure").alias("AimedDepartureTime"),
@@ -259,8 +269,12 @@ def journeys(trips: DataFrame, stops: DataFrame) -> DataFrame:
             filled("arrival_platform_name").alias("ArrivalPlatformName"),
         ).alias("call"),
     )
-    calls = stops.groupBy("trip_id").agg(F.array_sort(F.collect_list(call)).alias("calls"))
-    return trips.join(calls.hint("merge"), "trip_id", "left").select(
+    calls = (
+        parts.dealt(stops, found, ["trip_id"], ["call_index", "stop_name"])
+        .groupBy("trip_id", "part").agg(F.array_sort(F.collect_list(call)).alias("calls"))
+    )
+    elements = parts.numbered(trips, found, ["trip_id"])
+    return elements.join(calls.hint("merge"), ["trip_id", "part"], "left").select(
         F.struct(F.col("trip_id").alias("DatedVehicleJourneyRef")).alias(
             "FramedVehicleJourneyRef"
         ),

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaywise.functions import calendar, status, text, times, trains
+from quaywise.plans import checks
 from quaywise.functions.numbers import percent_change, round_ratio
 from quaywise.plans import dashboard, dims, kpi
 from quaywise.sources import referentials
@@ -84,10 +85,8 @@ BANDS = {
 
 def test_train_bands(spark):
     rows = spark.createDataFrame([(n,) for n in BANDS], "n string")
-    decoded = rows.select(
-        "n", *[c.alias(k) for k, c in trains.decode_train(F.col("n")).items()]
-    ).collect()
-    for row in decoded:
+    decoded = trains.decoded(rows, "n")
+    for row in decoded.collect():
         assert row["plage_numero"] == BANDS[row["n"]], row["n"]
         if row["n"] == "N/A":
             assert row["commentaire"] == trains.NOT_A_NUMBER and row["sens_circulation"] is None
@@ -97,6 +96,45 @@ def test_train_bands(spark):
             assert row["commentaire"] == ("" if known else trains.OUT_OF_RANGE)
 
 
+def test_bands_are_a_table_joined_by_bins(spark):
+    own = trains.bands(spark, [trains.Band(995, 2005, "A", "x"), trains.Band(2006, 2006, "B", "y")])
+    rows = spark.range(990, 2010).select(F.col("id").cast("string").alias("n"))
+    decoded = trains.decoded(rows, "n", own)
+    assert decoded.count() == 1020
+    assert {r["type_train"]: r["count"] for r in decoded.groupBy("type_train").count().collect()} == {
+        "A": 1011, "B": 1, None: 8}
+    plan = trains.decoded(rows, "n")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_overlapping_and_missing_bands_are_reported(spark):
+    band = lambda low, high: trains.Band(low, high, "t", "s")
+    own = trains.bands(spark, [band(1, 9), band(5, 7), band(9, 12), band(13, 20), band(30, 40)])
+    found = checks.overlapping_bands(own).select("low").collect()
+    assert [r["low"] for r in found] == [5, 9]
+    assert [tuple(r) for r in checks.missing_bands(own).collect()] == [(21, 29)]
+    assert checks.overlapping_bands(trains.bands(spark)).count() == 0
+    assert (500, 6999) in [tuple(r) for r in checks.missing_bands(trains.bands(spark)).collect()]
+
+
+SAME_NAMES = [
+    ("Évry", "EVRY"), ("É́vry".replace("́", ""), "evry"), ("Évry", "evry"), ("Győr", "gyor"), ("ŠIBENIK", "šibenik"),
+    ("Škofja Loka", "skofja loka"), ("Œuilly", "oeuilly"), ("Łódź", "LODZ"), ("Αθήνα", "ΑΘΗΝΑ"), ("Москва́", "москва"),
+    ("Straße", "STRASSE"), ("Tromsø", "tromso"),
+]
+
+
+def test_names_join_without_case_and_accents(spark):
+    left = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(SAME_NAMES)], "i int, a string")
+    right = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(SAME_NAMES)] + [(99, "other")], "j int, b string")
+    joined = left.join(right, text.folded(F.col("a")) == text.folded(F.col("b")))
+    pairs = {(r["i"], r["j"]) for r in joined.collect()}
+    assert {(i, i) for i in range(len(SAME_NAMES))} <= pairs
+    assert all(i == j or {i, j} <= {0, 1, 2} for i, j in pairs)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 EARLY, LATE, NOW = datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 15), datetime(2024, 1, 1, 12)
 
 
@@ -137,7 +175,7 @@ def test_journey_status(spark, dep, arr, expected):
 
 def test_names_fold(spark):
     assert one(spark, text.station_key(F.lit("L'Isle-d'Abeau"))) == "l isle d abeau"
-    assert one(spark, text.fold(F.lit("Côtes-d'Armor Œuvre"))) == "cotes-d'armor oeuvre"
+    assert one(spark, text.folded(F.lit("Côtes-d'Armor Œuvre")) == text.folded(F.lit("cotes-D'ARMOR oeuvre")))
     assert one(spark, text.line_key(F.lit("Ligne 1 B"))) == "ligne1b"
 
 

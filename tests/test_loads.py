@@ -277,10 +277,10 @@ def test_days_outside_a_window_are_not_read_for_training(spark, loaded):
 
 def test_a_periodic_refresh_opens_recent_days_of_stops_only(spark, loaded):
     window = refresh.Window.rolling(NOW)
-    known = refresh._days_from(loaded["ods/stops"], window.known)
-    rows = ods.new_stops(loaded["dsa/stops"], loaded["ods/trips"], known, window.stops)
+    recent = refresh._days_from(loaded["ods/stops"], window.stops)
+    rows = ods.new_stops(loaded["dsa/stops"], loaded["ods/trips"], recent, window.stops)
     filters = plan(rows).split("PartitionFilters")
-    assert any("ref_date" in f and ">= 2023-12-16" in f for f in filters)
+    assert any("ref_date" in f and ">= 2024-01-13" in f for f in filters)
 
 
 def test_a_rewrite_that_fails_halfway_loses_nothing(spark, loaded, monkeypatch):
@@ -335,21 +335,34 @@ def test_facts_wait_for_unknown_trains(spark, tables):
     assert {r.trip_id for r in rows.collect()} == {"t1"}
 
 
-def test_comparison_with_known_stops_can_be_bounded(spark, tables):
+def test_no_stored_stop_is_forgotten(spark, tables):
     referentials(spark, tables)
     feed(spark, tables)
     old = frame(spark, "ods/stops", [
-        {"trip_id": "t1", "stop_name": "B", "ref_date": date(2023, 12, 1)},
+        {"trip_id": "t1", "stop_name": "B", "ref_date": date(2021, 12, 1)},
         {"trip_id": "t1", "stop_name": "C", "ref_date": date(2024, 1, 14)},
     ])
     tables.append("ods/stops", old)
-    refresh.refresh_ods(tables, refresh.Window.rolling(NOW, known_days=None))
-    today = tables["ods/stops"].where("trip_id = 't1' and ref_date = '2024-01-15'")
-    assert values(today, "stop_name") == [("A",)]
-    refresh.refresh_ods(tables, refresh.Window.rolling(NOW, known_days=3))
-    assert values(today.sparkSession.read.schema(schemas.ODS_STOPS).parquet(
-        tables.path("ods/stops")).where("trip_id = 't1' and ref_date = '2024-01-15'"),
-        "stop_name") == [("A",), ("B",)]
+    for _ in range(2):
+        refresh.refresh_ods(tables, refresh.Window.rolling(NOW))
+        today = tables["ods/stops"].where("trip_id = 't1' and ref_date = '2024-01-15'")
+        assert values(today, "stop_name") == [("A",)]
+    assert refresh.stop_keys(tables).through == date(2024, 1, 12)
+
+
+def test_an_earlier_refresh_holds_the_keys_anew(spark, tables):
+    referentials(spark, tables)
+    feed(spark, tables)
+    later = NOW + timedelta(days=30)
+    refresh.refresh_ods(tables, refresh.Window.rolling(later))
+    assert refresh.stop_keys(tables).through == date(2024, 2, 11)
+    refresh.refresh_ods(tables, refresh.Window.rolling(NOW))
+    stored = tables["ods/stops"].count()
+    assert stored > 0 and refresh.stop_keys(tables).through == date(2024, 1, 12)
+    refresh.refresh_ods(tables, refresh.Window.rolling(later))
+    refresh.refresh_ods(tables, refresh.Window.history())
+    assert tables["ods/stops"].count() == stored
+    assert refresh.stop_keys(tables).through is None
 
 
 def test_one_key_with_most_rows_is_inserted_once(spark):
