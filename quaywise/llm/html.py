@@ -7,8 +7,13 @@ around paragraphs and headings, list items have markers and are indented by
 depth, preformatted text keeps its lines, and the cells of a table's rows stand
 in columns. All visible text is kept, whatever part of a page it is in: what
 stands in a table outside its cells and caption is moved before the table, rows
-leave a wrapper that is no part of a table, and the texts of drawings and
-formulas are read. Copies that a drawing makes by ``use`` are not followed.
+leave a wrapper that is no part of a table, cells that span rows keep their
+columns, a menu shows its chosen option, and the texts of drawings and formulas
+are read. Copies that a drawing makes by ``use`` are not followed.
+
+What hides an element: its name, the attribute ``hidden``, and the last valid
+``display`` of its ``style``. ``visibility`` passes on to what is within until an
+element says otherwise. Rules in style sheets are not read, and scripts not run.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
     "head script style template noscript iframe noembed noframes object audio video canvas "
-    "datalist select area base link meta title param source track rp".split()
+    "datalist area base link meta title param source track rp".split()
 )
 #: Elements of drawings and formulas that show nothing in their place.
 FOREIGN_HIDDEN = {
@@ -55,6 +60,17 @@ BLOCK = frozenset(
 )
 #: Blocks with a blank line around them.
 SPACED = frozenset("p blockquote dl figure h1 h2 h3 h4 h5 h6 ol ul menu dir pre table hr".split())
+#: Elements of the standard's special category that are no blocks here, and those here that are not in it:
+#: an end tag of inline content doesn't reach out of a special element.
+SPECIAL = BLOCK - frozenset(["option", "optgroup"]) | frozenset(["select", "object", "button"])
+#: Types of ``input`` whose value is their label.
+LABELLED = frozenset("submit button reset".split())
+#: Values of ``display`` that show an element. Others, but for ``none``, are no declaration.
+DISPLAYED = frozenset(
+    "block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell "
+    "table-caption table-column table-column-group table-row-group table-header-group table-footer-group "
+    "list-item contents flow-root flow run-in ruby inherit initial unset revert revert-layer math".split()
+)
 PREFORMATTED = frozenset("pre textarea listing xmp".split())
 LISTS = frozenset("ul ol menu dir".split())
 
@@ -76,7 +92,7 @@ CLOSES: dict[str, tuple[frozenset[str], frozenset[str]]] = {
 #: Blocks that close an open paragraph.
 CLOSES_P = BLOCK - frozenset("body html td th tr tbody thead tfoot caption colgroup option optgroup".split())
 #: Elements that an end tag within them doesn't reach out of.
-SCOPE = frozenset("table td th caption html button".split())
+SCOPE = frozenset("table td th caption html button object template".split())
 TABLE = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
 GROUPS = frozenset("thead tbody tfoot".split())
 #: Parts of a table -> open elements that they may stand in.
@@ -97,7 +113,9 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_CSS_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+_DECLARATION = re.compile(
+    r"(?:^|[;{])\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?\s*(?=;|\Z)", re.IGNORECASE
+)
 #: White space that collapses; a no-break space doesn't.
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 #: Depth beyond which elements are not nested any further.
@@ -111,7 +129,7 @@ _EMPTY = re.compile(r"(?<![^\s\"'])(?:[^\s\"'=]*)/\Z")
 class Node:
     """``space`` is ``svg`` or ``math`` for the elements of drawings and formulas, empty for those of HTML."""
 
-    __slots__ = ("attributes", "children", "hidden", "name", "space")
+    __slots__ = ("attributes", "children", "hidden", "name", "seen", "space")
 
     def __init__(self, name: str, attributes: dict[str, str], space: str = ""):
         self.name = name
@@ -119,11 +137,7 @@ class Node:
         self.space = space
         self.children: list[Node | str] = []
         if space:
-            self.hidden = (
-                name in FOREIGN_HIDDEN[space]
-                or attributes.get("display", "").strip().lower() == "none"
-                or attributes.get("visibility", "").strip().lower() in ("hidden", "collapse")
-            )
+            self.hidden = name in FOREIGN_HIDDEN[space]
         else:
             self.hidden = (
                 name in HIDDEN
@@ -131,7 +145,15 @@ class Node:
                 or (name == "input" and attributes.get("type", "").lower() == "hidden")
                 or (name == "dialog" and "open" not in attributes)
             )
-        self.hidden = self.hidden or bool(attributes.get("style") and _CSS_HIDDEN.search(attributes["style"]))
+        # None: as the element around
+        self.seen: bool | None = None
+        if space or "style" in attributes:
+            display, visibility = styles_of(attributes, bool(space))
+            if display:  # stronger than the attribute ``hidden``
+                open_dialog = name != "dialog" or "open" in attributes
+                self.hidden = display == "none" or (self.hidden and not ("hidden" in attributes and name not in HIDDEN and open_dialog))
+            if visibility:
+                self.seen = visibility == "visible"
 
     def holds(self) -> str:
         """The ``space`` of the elements that begin in this one."""
@@ -146,6 +168,25 @@ class Node:
         return self.space
 
 
+def styles_of(attributes: dict[str, str], drawn: bool) -> tuple[str, str]:
+    """``display`` and ``visibility`` of an element, empty where they are not given: the last one counts.
+
+    Drawings may give them as attributes, which are weaker than a style.
+    """
+    found = {"display": "", "visibility": ""}
+    if drawn:
+        found = {k: attributes.get(k, "").strip().lower() for k in found}
+    strong: set[str] = set()
+    for m in _DECLARATION.finditer(attributes.get("style", "")):
+        name, value = m[1].lower(), m[2].lower()
+        valid = value in DISPLAYED or value == "none" if name == "display" else value in ("visible", "hidden", "collapse")
+        if valid and (m[3] or name not in strong):
+            found[name] = value
+            if m[3]:
+                strong.add(name)
+    return found["display"], found["visibility"]
+
+
 def attributes_of(rest: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(rest):
@@ -290,24 +331,29 @@ def _reach(name: str) -> frozenset[str]:
     """Elements beyond which the end tag of ``name`` closes nothing."""
     if name in TABLE:
         return frozenset(["table"]) - {name}
-    return SCOPE - {name} if name in BLOCK or name in SCOPE else BLOCK
+    return SCOPE - {name} if name in SPECIAL or name in SCOPE else SPECIAL
 
 
 class Layout:
-    """Lines of rendered text; blocks ask for a number of line ends before what comes next."""
+    """Lines of rendered text; blocks ask for a number of line ends before what comes next.
 
-    def __init__(self) -> None:
+    The line that is being written is a list of parts, so a long one is put
+    together once. While ``seen`` is false nothing is written.
+    """
+
+    def __init__(self, seen: bool = True) -> None:
         self.lines: list[str] = []
-        self.line = ""
+        self.parts: list[str] = []
         self.blank = 0  # blank lines wanted before the next text
         self.space = False
         self.indent = 0
         self.marker = ""
+        self.seen = seen
 
     def end_line(self) -> None:
-        if self.line:
-            self.lines.append(self.line.rstrip(" "))
-            self.line = ""
+        if self.parts:
+            self.lines.append("".join(self.parts).rstrip(" "))
+            self.parts = []
         self.space = False
 
     def block(self, blank: int) -> None:
@@ -315,51 +361,54 @@ class Layout:
         self.blank = max(self.blank, blank)
 
     def _begin(self) -> None:
-        if not self.line:
+        if not self.parts:
             if self.blank and self.lines:
                 self.lines += [""] * self.blank
             self.blank = 0
-            self.line = " " * self.indent + self.marker
+            self.parts.append(" " * self.indent + self.marker)
             if self.marker:
                 self.indent += len(self.marker)
                 self.marker = ""
 
     def text(self, value: str) -> None:
-        parts = _SPACE.split(value)
-        for k, part in enumerate(parts):
-            if k:
-                self.space = True
-            if part:
-                fresh = not self.line
-                self._begin()
-                if self.space and not fresh:
-                    self.line += " "
-                self.line += part
-                self.space = False
+        if not self.seen or not value:
+            return
+        value = _SPACE.sub(" ", value)
+        body = value.strip(" ")
+        self.space = self.space or value[0] == " "
+        if body:
+            fresh = not self.parts
+            self._begin()
+            if self.space and not fresh:
+                self.parts.append(" ")
+            self.parts.append(body)
+            self.space = value[-1] == " "
 
     def raw(self, value: str) -> None:
+        if not self.seen:
+            return
         for k, part in enumerate(value.split("\n")):
             if k:
-                if self.line:
+                if self.parts:
                     self.end_line()
                 else:
                     self.blank += 1
             if part.strip():
                 self._begin()
-                self.line += part.rstrip("\r")
+                self.parts.append(part.rstrip("\r"))
             self.space = False
 
     def line_break(self) -> None:
-        if self.line:
+        if self.parts:
             self.end_line()
         elif self.lines:
             self.blank = min(self.blank + 1, 2)
         self.space = False
 
 
-def rendered(node: Node) -> list[str]:
-    """Lines of the visible text below ``node``."""
-    out = Layout()
+def rendered(node: Node, seen: bool = True) -> list[str]:
+    """Lines of the visible text below ``node``, which itself is ``seen`` unless it says otherwise."""
+    out = Layout(seen if node.seen is None else node.seen)
     _render(node, out, False, 0)
     out.end_line()
     return out.lines
@@ -377,6 +426,9 @@ def _render(node: Node, out: Layout, raw: bool, depth: int) -> None:
         if child.hidden:
             continue
         name = child.name
+        around = out.seen
+        if child.seen is not None:
+            out.seen = child.seen
         if child.space == "svg":
             _render_svg(child, out, raw, depth, False)
         elif child.space:
@@ -388,12 +440,21 @@ def _render(node: Node, out: Layout, raw: bool, depth: int) -> None:
         elif name == "img":
             if alt := child.attributes.get("alt", "").strip():
                 out.text(alt)
+        elif name == "input":
+            kind = child.attributes.get("type", "").strip().lower()
+            shown = "value" if kind in LABELLED else "alt" if kind == "image" else ""
+            out.text(child.attributes.get(shown, ""))
+        elif name == "select":
+            _render_select(child, out, raw, depth)
         elif name == "table":
             _render_table(child, out, depth)
         elif name == "li":
             out.block(0)
             held = out.indent, out.marker
-            if node.name == "ol":
+            if not out.seen:
+                counter += node.name == "ol"
+                out.marker = ""
+            elif node.name == "ol":
                 value = child.attributes.get("value", "").strip()
                 counter = int(value) if re.fullmatch(r"-?\d{1,9}", value) else counter
                 out.marker = f"{counter}. "
@@ -418,6 +479,32 @@ def _render(node: Node, out: Layout, raw: bool, depth: int) -> None:
             out.indent = held
         else:
             _render(child, out, raw or name in PREFORMATTED, depth)
+        out.seen = around
+
+
+def _options(node: Node) -> Iterator[Node]:
+    for child in node.children:
+        if isinstance(child, Node) and not child.hidden:
+            if child.name == "option":
+                yield child
+            yield from _options(child)
+
+
+def _render_select(node: Node, out: Layout, raw: bool, depth: int) -> None:
+    """A list shows all of its options, a menu the last one that is selected, or the first that may be."""
+    size = node.attributes.get("size", "").strip()
+    if "multiple" in node.attributes or (size.isdecimal() and len(size) < 5 and int(size) > 1):
+        out.block(0)
+        _render(node, out, raw, depth)
+        out.block(0)
+        return
+    options = list(_options(node))
+    chosen = [x for x in options if "selected" in x.attributes][-1:]
+    chosen = chosen or [x for x in options if "disabled" not in x.attributes][:1]
+    for option in chosen:
+        out.text(" ")
+        _render(option, out, raw, depth)
+        out.text(" ")
 
 
 def _render_svg(node: Node, out: Layout, raw: bool, depth: int, shown: bool) -> None:
@@ -426,9 +513,13 @@ def _render_svg(node: Node, out: Layout, raw: bool, depth: int, shown: bool) ->
         if isinstance(child, str):
             if shown:
                 (out.raw if raw else out.text)(child)
-        elif child.hidden:
             continue
-        elif child.name == "foreignobject":
+        if child.hidden:
+            continue
+        around = out.seen
+        if child.seen is not None:
+            out.seen = child.seen
+        if child.name == "foreignobject":
             out.block(0)
             _render(child, out, raw, depth)
             out.block(0)
@@ -438,6 +529,7 @@ def _render_svg(node: Node, out: Layout, raw: bool, depth: int, shown: bool) ->
             out.block(0)
         else:
             _render_svg(child, out, raw, depth, shown)
+        out.seen = around
 
 
 def _render_math(node: Node, out: Layout, raw: bool, depth: int) -> None:
@@ -454,12 +546,16 @@ def _render_math(node: Node, out: Layout, raw: bool, depth: int) -> None:
             (out.raw if raw else out.text)(child)
             continue
         if not child.hidden:
+            around = out.seen
+            if child.seen is not None:
+                out.seen = child.seen
             if apart:
                 out.text(" ")
             if child.space == "math":
                 _render_math(child, out, raw, depth)
             else:
                 _render(_wrapped(child), out, raw, depth)
+            out.seen = around
         if node.name in ("semantics", "maction"):
             break  # the others are notes and what an action shows
     if block:
@@ -472,13 +568,69 @@ def _wrapped(*children: Node | str) -> Node:
     return node
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    for child in node.children:
-        if isinstance(child, Node) and not child.hidden:
-            if child.name == "tr":
-                yield child
-            elif child.name in GROUPS:
-                yield from _rows(child)
+def _row_groups(node: Node) -> list[list[tuple[Node, bool | None]]]:
+    """Rows that are in one group, with what the group says of their visibility.
+
+    The first head comes first and the first foot last, wherever they stand.
+    """
+    groups: list[tuple[str, list[tuple[Node, bool | None]]]] = []
+
+    def add(parent: Node, name: str, seen: bool | None) -> None:
+        rows: list[tuple[Node, bool | None]] = []
+        for child in parent.children:
+            if isinstance(child, Node) and not child.hidden:
+                if child.name == "tr":
+                    rows.append((child, seen))
+                elif child.name in GROUPS:
+                    groups.append((name, rows))
+                    rows = []
+                    add(child, child.name, seen if child.seen is None else child.seen)
+        groups.append((name, rows))
+
+    add(node, "", None)
+    groups = [g for g in groups if g[1]]
+    names = [name for name, _ in groups]
+    first = [names.index("thead")] if "thead" in names else []
+    last = [names.index("tfoot")] if "tfoot" in names else []
+    middle = [k for k in range(len(groups)) if k not in (*first, *last)]
+    return [groups[k][1] for k in (*first, *middle, *last)]
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell takes; rows may be given as 0 for all that follow."""
+    given = cell.attributes.get(name, "1").strip()
+    span = int(given) if given.isdecimal() and len(given) < 7 else 1
+    return most if span == 0 and name == "rowspan" else max(1, min(span, most))
+
+
+def _cells(row: Node, seen: bool, taken: list[int], rows_left: int) -> list[list[str]]:
+    """Cells of a row by column; ``taken`` holds for how many rows yet a column belongs to a cell above."""
+    cells: list[list[str]] = []
+    loose = Node("td", {})
+
+    def skip() -> None:
+        while len(cells) < len(taken) and taken[len(cells)]:
+            cells.append([])
+
+    own: list[tuple[int, int, int]] = []
+    for child in row.children:
+        if isinstance(child, Node) and child.name in ("td", "th"):
+            skip()
+            wide, tall = _span(child, "colspan", 100), _span(child, "rowspan", rows_left)
+            own.append((len(cells), wide, tall))
+            cells.append([] if child.hidden else rendered(child, seen))
+            cells += [[]] * (wide - 1)
+        else:
+            loose.children.append(child)
+    if any(x.strip() if isinstance(x, str) else True for x in loose.children):
+        skip()
+        cells.append(rendered(loose, seen))
+    taken[:] = [max(0, n - 1) for n in taken]
+    for column, wide, tall in own:
+        taken += [0] * (column + wide - len(taken))
+        for k in range(column, column + wide):
+            taken[k] = max(taken[k], tall - 1)
+    return cells
 
 
 def _stray(node: Node) -> Iterator[Node | str]:
@@ -499,20 +651,15 @@ def _render_table(node: Node, out: Layout, depth: int) -> None:
     _render(_wrapped(*_stray(node)), out, False, depth)
     out.block(0)
     grid: list[list[list[str]]] = []
-    for row in _rows(node):
-        cells: list[list[str]] = []
-        loose = Node("td", {})
-        for child in row.children:
-            if isinstance(child, Node) and child.name in ("td", "th"):
-                cells.append([] if child.hidden else rendered(child))
-                span = child.attributes.get("colspan", "1").strip()
-                cells += [[]] * (min(int(span), 100) - 1 if span.isdecimal() and len(span) < 5 and int(span) else 0)
-            else:
-                loose.children.append(child)
-        if any(x.strip() if isinstance(x, str) else True for x in loose.children):
-            cells.append(rendered(loose))
-        if any(cells):
-            grid.append(cells)
+    for rows in _row_groups(node):
+        taken: list[int] = []
+        for k, (row, seen) in enumerate(rows):
+            for own in (seen, row.seen):
+                seen = own if own is not None else seen
+            cells = _cells(row, out.seen if seen is None else seen, taken, len(rows) - k)
+            if any(cells):
+                grid.append(cells)
+    around, out.seen = out.seen, True  # cells hold what is seen
     columns = max(map(len, grid), default=0)
     widths = [max((len(x) for row in grid if k < len(row) for x in row[k]), default=0) for k in range(columns)]
     for row in grid:
@@ -520,6 +667,7 @@ def _render_table(node: Node, out: Layout, depth: int) -> None:
             parts = [(cell[k] if k < len(cell) else "").ljust(w) for cell, w in zip(row, widths, strict=False)]
             out.raw("  ".join(parts).rstrip())
             out.end_line()
+    out.seen = around
     out.block(1)
 
 
