@@ -1,23 +1,35 @@
 """Encoding with a SentencePiece vocabulary as a weighted finite-state transducer.
 
-Three transducers are compiled and composed with each input:
-
-- the normaliser writes a word mark before a text that is not empty and one for
-  every space, and copies the rest;
-- the pieces: an arc for each piece leads from any state to the state "this
-  piece was last". Its weight is 0 where the two pieces may follow each other
-  and infinite where the vocabulary's merges would have joined or cut them in
-  another way. For merges by priority, a path of pieces is the vocabulary's own
-  result exactly if every two neighbours on it are the result for their own
-  text, so the machine needs no more memory than the last piece;
+Three transducers are compiled into one machine, which is composed with each
+input position by position:
+
+- the normaliser reads a space and writes a word mark, writes one before a text
+  that is not empty, and copies the rest; so every arc of the pieces that reads
+  a mark reads a space too, and the input begins with one;
+- the pieces: their letters are arcs between numbered states, and from the last
+  letter of a piece the machine goes on in the state "this piece was last". The
+  weight of a piece is 0 where it may follow the last one and infinite where the
+  vocabulary's merges would have joined or cut the two in another way;
 - the byte fallback: a character that is no piece has an arc of weight 1 that
   writes its UTF-8 bytes.
 
 The result is the shortest path in the tropical semiring (weights add along a
-path, the least total wins), found position by position. No piece goes over
-the border between letters and other characters, or has a word mark after
-another character; this is checked when a vocabulary is compiled. Paths between
-such borders are independent, and those of short stretches are kept.
+path, the least total wins). States are expanded only when they are reached, by
+least weight and then furthest position, where a character that no piece holds
+is counted beforehand, as every path has to pay for it.
+
+Whether two pieces may follow each other is decided by their borders. Merges run
+by priority, so for every rank it is known which symbol stands at the end of the
+one and which at the beginning of the other when all better merges are done. The
+two are the vocabulary's own result exactly if no two such symbols join into a
+piece of just the rank at which both stand there. A sequence of pieces is the
+result exactly if every two neighbours are, so the last piece is all the memory
+the machine needs.
+
+No piece goes over the border between letters and other characters, or has a
+word mark after another character; this is checked when a vocabulary is
+compiled. Paths between such borders are independent, and those of short
+stretches are kept.
 """
 
 from __future__ import annotations
@@ -37,11 +49,17 @@ from quaywise.llm.common import slices, table
 MARK = "▁"
 #: Letters, by exclusion of other word characters; raised digits are among those.
 _LETTERS = r"[^\W\d_\u00b2\u00b3\u00b9]"
-STRETCH = re.compile(rf"{MARK}*{_LETTERS}+|{MARK}*(?:(?!{_LETTERS})[^{MARK}])+|{MARK}+", re.DOTALL)
+STRETCH = re.compile(rf"[ {MARK}]*{_LETTERS}+|[ {MARK}]*(?:(?!{_LETTERS})[^ {MARK}])+|[ {MARK}]+", re.DOTALL)
 #: Stretches and pairs of pieces whose results a worker keeps.
 KEPT_STRETCHES, KEPT_PAIRS = 400_000, 1_000_000
-#: Last state after a character that is no piece.
+#: Last piece before the first one, and after a character that is no piece.
 UNKNOWN = ""
+NONE = -1
+#: Numbers of symbols fit so many bits.
+BITS = 21
+
+#: A symbol at a border of a piece, from one rank to another.
+Border = tuple[int, float, float]
 
 
 def vocabulary_path(path: str | None = None) -> str:
@@ -82,19 +100,55 @@ class Transducer:
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(size) if given.is_byte(i)}
         self.unknown = given.unk_id()
         self.raw = {i: bytes([b]) for b, i in self.bytes.items()}
-        self.prefixes = {x[:k] for x in self.ids for k in range(1, len(x) + 1)}
         self.split = all(len(STRETCH.findall(x)) == 1 for x in self.ids)
         self.text = [x.replace(MARK, " ") if x in self.ids else "" for x in self.pieces]
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole = {x: self.merged(x) == [x] for x in self.ids}
+        # pieces have their own numbers, other characters of pieces numbers beyond them
+        self.symbols = dict(self.ids)
+        for c in sorted({c for x in self.ids for c in x}):
+            self.symbols.setdefault(c, size + len(self.symbols))
+        self.joins = {
+            self.symbols[x[:k]] << BITS | self.symbols[x[k:]]: -self.priority[x]
+            for x in self.ids for k in range(1, len(x)) if x[:k] in self.symbols and x[k:] in self.symbols
+        }
+        self.whole: set[int] = set()
+        self.left: dict[int, list[Border]] = {}
+        self.right: dict[int, list[Border]] = {}
+        for x, i in self.ids.items():
+            parts, self.left[i], self.right[i] = self.merged(x)
+            if len(parts) == 1:
+                self.whole.add(i)
+        self.arcs: list[dict[str, int]] = [{}]
+        self.last: list[int] = [NONE]
+        for x, i in self.ids.items():
+            if i in self.whole:
+                self._add(x, i)
+        self.pairs: dict[int, bool] = {}
         self.paths = _Paths(self.shortest)
 
-    def normalised(self, text: str) -> str:
-        return MARK + text.replace(" ", MARK) if text else ""
-
-    def merged(self, text: str) -> list[str]:
-        """The vocabulary's result for a short text: the best neighbours join until none can, leftmost first."""
-        parts, priority = list(text), self.priority
+    def _add(self, piece: str, number: int) -> None:
+        """Arcs for the letters of a piece; what reads a word mark reads a space."""
+        state = 0
+        for c in piece:
+            arcs = self.arcs[state]
+            if c not in arcs:
+                self.arcs.append({})
+                self.last.append(NONE)
+                for label in (c, " ") if c == MARK else (c,):
+                    arcs[label] = len(self.arcs) - 1
+            state = arcs[c]
+        self.last[state] = number
+
+    def merged(self, text: str) -> tuple[list[str], list[Border], list[Border]]:
+        """The vocabulary's result for a short text, and what stands at its borders meanwhile.
+
+        The best neighbours join until none can, leftmost first. A border is a
+        symbol with the rank after which it stands there and that at which it goes;
+        ranks are the worst of all merges so far, as a better one that comes up
+        later runs at once.
+        """
+        parts, priority, level = list(text), self.priority, -np.inf
+        left = [(self.symbols[parts[0]], -np.inf, np.inf)]
+        right = [(self.symbols[parts[-1]], -np.inf, np.inf)]
         while True:
             best, at = -np.inf, -1
             for k in range(len(parts) - 1):
@@ -102,52 +156,87 @@ class Transducer:
                 if found is not None and found > best:
                     best, at = found, k
             if at < 0:
-                return parts
+                return parts, left, right
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            level = max(level, -best)
+            for chain, stands in ((left, at == 0), (right, at == len(parts) - 1)):
+                if stands:
+                    symbol, since, _ = chain.pop()
+                    if since < level:  # else no rank sees it
+                        chain.append((symbol, since, level))
+                    chain.append((self.symbols[parts[at]], level, np.inf))
+
+    def may_follow(self, last: int, piece: int) -> bool:
+        """Whether the weight of ``piece`` after ``last`` is 0; both are their own results."""
+        joins = self.joins
+        for a, since, until in self.right[last]:
+            for b, after, before in self.left[piece]:
+                rank = joins.get(a << BITS | b)
+                # of equal ranks the merge further left runs first
+                if rank is not None and since <= rank < until and after < rank <= before:
+                    return False
+        return True
 
     def follows(self, last: str, piece: str) -> bool:
-        """Whether the arc of ``piece`` has weight 0 after ``last``."""
-        found = self.whole[piece] and (last == UNKNOWN or self.merged(last + piece) == [last, piece])
-        if len(self.pairs) < KEPT_PAIRS:
-            self.pairs[last, piece] = found
-        return found
+        """The same for pieces as strings."""
+        i = self.ids[piece]
+        return i in self.whole and (last == UNKNOWN or self.may_follow(self.ids[last], i))
 
     def shortest(self, text: str) -> list[int]:
         """Ids on the shortest path through the composition with ``text``."""
-        ids, prefixes, pairs, n = self.ids, self.prefixes, self.pairs, len(text)
-        # at each position: last piece -> (weight, position and last piece before)
-        states: list[dict[str, tuple[int, int, str]]] = [{} for _ in range(n + 1)]
-        states[0][UNKNOWN] = (0, -1, UNKNOWN)
-        for start in range(n):
-            here = states[start]
-            for last, (weight, _, _) in here.items():
-                for end in range(start + 1, n + 1):
-                    piece = text[start:end]
-                    if piece not in prefixes:
-                        break
-                    if piece not in ids:
-                        continue
-                    zero = pairs.get((last, piece))
-                    if zero is None:
-                        zero = self.follows(last, piece)
-                    if zero and (piece not in states[end] or weight < states[end][piece][0]):
-                        states[end][piece] = weight, start, last
-            if text[start] not in ids:
-                weight, last = min((w, x) for x, (w, _, _) in here.items())
-                states[start + 1][UNKNOWN] = weight + 1, start, last
-        end, out = n, []
-        last = min(states[end], key=lambda x: states[end][x][0])
-        while end:
-            _, start, before = states[end][last]
-            out.append(ids[last] if last != UNKNOWN else text[start])
-            end, last = start, before
-        return [i for x in reversed(out) for i in ([x] if isinstance(x, int) else self.fallback(x))]
+        all_arcs, ends, pairs, n = self.arcs, self.last, self.pairs, len(text)
+        ids, symbols = self.ids, self.symbols
+        # (position, last piece, the state before) by weight, the furthest on top
+        level: list[tuple] = [(0, NONE, None)]
+        later: list[tuple] = []
+        seen: set[int] = set()
+        while True:
+            if not level:
+                level, later = later, []
+            state = level.pop()
+            start, last, _ = state
+            if start == n:
+                break
+            key = start << BITS | last + 1
+            if key in seen:
+                continue
+            seen.add(key)
+            c = text[start]
+            if c not in ids and c != " ":
+                (level if c not in symbols else later).append((start + 1, NONE, state))
+            arcs = all_arcs[0].get(c)
+            at = start + 1
+            while arcs is not None:
+                piece = ends[arcs]
+                if piece >= 0:
+                    if last < 0:
+                        level.append((at, piece, state))
+                    else:
+                        pair = last << BITS | piece
+                        zero = pairs.get(pair)
+                        if zero is None:
+                            zero = self.may_follow(last, piece)
+                            if len(pairs) < KEPT_PAIRS:
+                                pairs[pair] = zero
+                        if zero:
+                            level.append((at, piece, state))
+                if at == n:
+                    break
+                arcs = all_arcs[arcs].get(text[at])
+                at += 1
+        out: list[int] = []
+        while state[2] is not None:
+            before = state[2]
+            out += [state[1]] if state[1] >= 0 else reversed(self.fallback(text[before[0]]))
+            state = before
+        return out[::-1]
 
     def fallback(self, character: str) -> list[int]:
+        """Ids of the bytes of a character."""
         return [self.bytes.get(b, self.unknown) for b in character.encode()]
 
     def encode(self, text: str) -> np.ndarray:
-        found = self.normalised(text)
+        found = " " + text if text else ""
         stretches = STRETCH.findall(found) if self.split else [found] if found else []
         return np.frombuffer(b"".join(map(self.paths.__getitem__, stretches)), "<u4")
 
