@@ -27,6 +27,8 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: A group is closed at so many tokens; about a thousand sequences.
 GROUP_TOKENS = 2 << 20
+#: Bytes of text of one task, about: its last group is the only one that may be short.
+TASK_BYTES = 8 << 20
 #: Free places that a sequence may keep without being cut anew.
 MAX_GAP = 16
 
@@ -112,8 +114,10 @@ def packed_pieces(
     rows, also with equal or null ``doc_id``, are documents of their own. An
     empty table gives no pieces. Other columns are not read. The texts are
     shuffled once, by a hash that spreads repeated rows as well, and sorted by
-    it, so a task that is run again deals the same groups. A task holds the
-    ids of one group and one document.
+    it, so a task that is run again deals the same groups, if ``docs`` has its
+    rows in a fixed order, as a stored table has. There are as many tasks as the
+    texts have bytes for, at any size. A task holds the ids of one group and one
+    document.
     """
     path = vocabulary_path(vocabulary)
     spread = F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id(), F.lit(capacity))
@@ -158,7 +162,8 @@ def packed_pieces(
                     yield from close()
         yield from close()
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // TASK_BYTES))
     dealt = (
         docs.select(F.col("doc_id").cast("long"), F.col("text"), spread.alias("spread"))
         .repartition(parts, "spread")
