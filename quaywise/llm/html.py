@@ -298,6 +298,12 @@ def tree(page: str) -> Node:
                 close(frozenset(["p"]), SCOPE)
             if value in CLOSES:
                 close(*CLOSES[value])
+            if tables and value in GROUPS:
+                # a group of rows ends whatever is open in its table
+                for k in range(len(open_) - 1, 0, -1):
+                    if open_[k].name == "table" and not open_[k].space:
+                        del open_[k + 1 :]
+                        break
             if k := around():
                 if value in STANDS_IN:
                     while open_[-1].name not in STANDS_IN[value] or open_[-1].space:

@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -80,6 +82,94 @@ def test_text_anywhere(page):
     assert html.page_text(page) == ANYWHERE[page]
 
 
+#: Ends, visibility, spans and controls.
+SHOWN = {
+    "<body><p>before</p><select><option>a<option>b</select><p>REST</p>": "before\n\na\n\nREST",
+    "<select><optgroup label=x><option>a<option selected>b</optgroup></select>c": "b c",
+    "<select><option disabled>a<option>b</select><select multiple><option>c<option>d</select>e": "b\nc\nd\ne",
+    "<p>x<object><p>no</object>rest": "xrest",
+    "<object><p>no<object><p>no</object></object>yes": "yes",
+    "<b><option>a</b>b": "a\nb",
+    "<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</div>z": "yes\nz",
+    "<div style='visibility:hidden'><ul><li>no<li style='visibility:visible'>yes</ul></div>z": "- yes\n\nz",
+    "<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>x": "  yes\n\nx",
+    "<table><tr style='visibility:collapse'><td>no</tr><tr><td>a</table>": "a",
+    "<p style='display:none;display:block'>yes</p>": "yes",
+    "<p style='display:block;display:none'>no</p>yes": "yes",
+    "<p style='display:none!important;display:block'>no</p>yes": "yes",
+    "<p style='display:none;display:bogus'>no</p>yes": "yes",
+    "<p hidden style='display:block'>yes</p>": "yes",
+    "<svg><text style='visibility:hidden'>no<tspan visibility=visible>yes</tspan></text></svg>": "yes",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d</table>": "a  b\n   c  d",
+    "<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<tbody><tr><td>e<td>f</table>": "a  b\n   c\n   d\ne  f",
+    "<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>": "a    b\n     c",
+    "<table><tr><td rowspan=9>a<tr><td>b<tbody><tr><td>c<td>d</table>": "a\n   b\nc  d",
+    "<table><tfoot><tr><td>f</tfoot><tbody><tr><td>b<thead><tr><td>h</table>": "h\nb\nf",
+    "<input type=submit value='Go &amp; see'> <input type=text value=no><input type=image alt=pic>": "Go & see pic",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN)
+def test_what_is_shown(page):
+    assert html.page_text(page) == SHOWN[page]
+
+
+def random_page(rng, words, depth=0, seen=True, shown=True):
+    """A well-formed page and the words of it that a browser shows, in order."""
+    page, visible = [], []
+    for _ in range(rng.randint(1, 4)):
+        if depth > 5 or rng.random() < 0.4:
+            word = f"w{next(words)}"
+            page.append(f" {word} ")
+            visible += [word] * (seen and shown)
+            continue
+        name = rng.choice("div p span b ul section blockquote table select object details video script".split())
+        style, own_seen, own_shown = "", seen, shown
+        kind = rng.randrange(8)
+        if kind == 0:
+            style, own_shown = " style='display:none'", False
+        elif kind == 1:
+            style, own_seen = " style='color:red;visibility:hidden'", False
+        elif kind == 2:
+            style, own_seen = " style='visibility:visible'", True
+        elif kind == 3:
+            style, own_shown = " hidden", False
+        if name == "script":
+            page.append(f"<script>w{next(words)} <p></script>")
+            continue
+        if name in ("object", "video"):
+            own_shown = False
+        if name == "select":
+            options = [f"w{next(words)}" for _ in range(rng.randint(1, 3))]
+            page.append(f"<select{style}>" + "".join(f"<option>{x}" for x in options) + "</select>")
+            visible += options[:1] * (own_seen and own_shown)
+            continue
+        inside, found = random_page(rng, words, depth + 1, own_seen, own_shown)
+        if name == "ul":
+            inside = f"<li>{inside}</li>"
+        if name == "table":
+            inside = f"<tr><td>{inside}</td></tr>"
+        if name == "p":  # a block within would end it
+            name = "div" if "<" in inside else "p"
+        page.append(f"<{name}{style}>{inside}</{name}>")
+        visible += found
+    return "".join(page), visible
+
+
+def test_every_visible_word_once_and_in_order():
+    rng = random.Random(11)
+    for _ in range(1500):
+        page, visible = random_page(rng, itertools.count())
+        assert re.findall(r"w\d+", html.page_text(page)) == visible, page
+
+
+def test_time_is_linear_in_a_line():
+    start = time.perf_counter()
+    assert html.page_text("<p>" + "word " * 2_000_000).count("word") == 2_000_000  # 10 MB
+    assert html.page_text("<p>" + "<i>w</i> " * 200_000).count("w") == 200_000
+    assert time.perf_counter() - start < 60
+
+
 def test_no_word_is_lost_in_tables():
     rng = random.Random(3)
     parts = ["<table>", "<tbody>", "<tr>", "<td>", "<form>", "<div>", "<b>", "<caption>", "<colgroup>", "</table>", "</tr>", "</td>", "</div>", "</form>", "</tbody>", "<p>", "<svg><text>", "</svg>"]
