@@ -86,16 +86,26 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     are, but for ``n_chars``, which follows a text that was cut.
     """
     bound_batches(docs.sparkSession)
-    later = later_places(docs).select(
-        F.struct("doc_id", "row_hash").alias("__key"), F.col("ks").alias("__ks")
-    )
+    later = later_places(docs).select(F.struct("doc_id", "row_hash").alias("found"), "ks")
     key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), _row_hash(docs).alias("row_hash"))
-    joined = docs.join(later, key.eqNullSafe(F.col("__key")), "left")
-    cleaned = joined.withColumn("text", F.pandas_udf(cut, "string")("text", "__ks"))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__ks").isNull(), F.col("n_chars")).otherwise(length))
-    return cleaned.select(*(f"`{c}`" for c in docs.columns))
+    # the given columns are one, so that none of them can meet a name used here
+    held = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    joined = held.join(later, F.col("key").eqNullSafe(F.col("found")), "left")
+    # texts that stay whole go to Python as nulls
+    touched = F.when(F.col("ks").isNotNull(), F.col("row.text"))
+    text = F.when(F.col("ks").isNull(), F.col("row.text")).otherwise(F.pandas_udf(cut, "string")(touched, "ks"))
+    cleaned = joined.select("row", "ks", text.alias("text"))
+    length = F.length("text")
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            own = F.col("row.n_chars")
+            return F.when(F.col("ks").isNull(), own).otherwise(length.cast(docs.schema[name].dataType)).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return cleaned.select(*map(column, docs.columns))
 
 
 def cut(texts: pd.Series, places: pd.Series) -> pd.Series:

@@ -315,13 +315,15 @@ def keep_clean(docs: DataFrame) -> DataFrame:
     repeated ids with different texts are judged apart.
     """
     bad = judge(docs).where(~F.col("kept")).select(
-        F.struct("doc_id", "text_hash", "lang", "source").alias("__bad")
+        F.struct("doc_id", "text_hash", "lang", "source").alias("bad")
     ).distinct()
     own = F.struct(
         docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"),
         docs["lang"].cast("string").alias("lang"), docs["source"].cast("string").alias("source"),
     )
-    return docs.join(bad, own.eqNullSafe(F.col("__bad")), "left_anti")
+    # the given columns are one, so that none of them can meet a name used here
+    held = docs.select(own.alias("own"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return held.join(bad, F.col("own").eqNullSafe(F.col("bad")), "left_anti").select("row.*")
 
 
 def op1_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,11 +273,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     columns = [docs[c] for c in ("text", "lang", "source") if c in docs.columns]
     key = F.struct(docs["doc_id"].isNull().alias("none"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(*columns).alias("row"))
-    keyed = docs.withColumn("__key", key)
+    # the given columns are one, so that none of them can meet a name used here
+    held = docs.select(key.alias("key"), F.col("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("given"))
     # the key stands in for the id, so that groups are of rows
-    groups = near_rows(keyed.select("__key", "text"), "__key")
-    first = groups.groupBy("component").agg(F.min("__key").alias("__key")).select("__key")
-    return keyed.join(first, "__key").dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns))
+    groups = near_rows(held.select("key", "text"), "key")
+    first = groups.groupBy("component").agg(F.min("key").alias("key")).select("key")
+    return held.join(first, "key").dropDuplicates(["key"]).select("given.*")
 
 
 def op7_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

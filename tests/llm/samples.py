@@ -3,7 +3,10 @@
 import random
 
 #: Names that operators use for columns of their own.
-CLASHING = ("fp", "kept", "lang_pred", "score", "ks", "a", "k", "spread", "component", "row", "n", "grp", "list")
+CLASHING = (
+    "fp", "kept", "lang_pred", "score", "ks", "a", "k", "spread", "component", "row", "n", "grp", "list", "key",
+    "found", "own", "given", "bad", "held", "row_hash", "text_hash", "__key", "__ks", "__bad",
+)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
     f"{c} string" for c in CLASHING

@@ -85,3 +85,13 @@ def test_documents(spark, group_tokens):
 
 def test_empty(spark):
     assert packing.packed_pieces(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_the_query_fills_its_sequences(spark, sf):
+    found = packing.op8_pack_ffd(spark, f"/root/testdata/sf{sf}").collect()
+    filled = {}
+    for r in found:
+        filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
+    assert len(filled) > 50
+    assert sum(filled.values()) / (packing.SEQUENCE_TOKENS * len(filled)) > 0.97
