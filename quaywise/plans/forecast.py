@@ -238,6 +238,11 @@ def load_latest(spark: SparkSession, root: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{root}/models/{latest['model_name']}"), latest.asDict()
 
 
+def raw_predictions(model: PipelineModel, grid: DataFrame) -> DataFrame:
+    """The model's predictions with their fractions, by hour."""
+    return model.transform(_numeric(grid)).select("hour_start", "prediction")
+
+
 def predict(model: PipelineModel, grid: DataFrame, model_name: str) -> DataFrame:
     """Whole trains for each hour of the grid, fractions cut off."""
     return model.transform(_numeric(grid)).select(

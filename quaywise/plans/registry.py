@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quaywise.functions import times
 from quaywise.operators import merge, parts
-from quaywise.plans import dashboard, dims, facts, forecast, kpi, ods, refresh
+from quaywise.plans import dashboard, dims, facts, forecast, forest, increments, kpi, ods, refresh
 from quaywise.plans.sample_warehouse import AS_OF, warehouse
 from quaywise.session import scratch_path
 from quaywise.sources import gtfs, messages, objects, referentials, sample, siri
@@ -157,6 +157,24 @@ def _upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named(source, tables["dwh/f_line_metrics"])
 
 
+def _line_metrics_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line metrics kept up over three loads of stops, each with stops of every trip.
+
+    The second load was cut short between its stops and its increments.
+    """
+    source = warehouse(spark, sf_dir)
+    tables = Tables(spark, scratch_path(spark, "increments"))
+    load = F.pmod(F.xxhash64("trip_id", "stop_station_tk"), F.lit(3))
+    for k in range(3):
+        folder = scratch_path(spark, "added")
+        source["dwh/f_trips"].where(load == k).write.parquet(folder)
+        added = spark.read.schema(source["dwh/f_trips"].schema).parquet(folder)
+        tables.append("dwh/f_trips", added)
+        if k != 1:
+            increments.add_stops(tables, added)
+    return _named(source, increments.line_metrics(tables))
+
+
 def _ods_window(tables: Tables) -> DataFrame:
     """Trips the periodic load would add to an empty table at the current time."""
     empty = tables["ods/trips"].limit(0)
@@ -572,6 +590,24 @@ def _train_volume_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own["forecast/fact_train_volume_forecast"]
 
 
+def _forecast_by_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours to predict, and whether the forest's nodes give what its model predicts."""
+    models, found_at = scratch_path(spark, "models"), scratch_path(spark, "predicted")
+    model, metadata = forecast.fit(_training_objects(spark, sf_dir), AS_OF)
+    forecast.save(model, metadata, models)
+    stored = metadata.first()
+    nodes = forest.read_nodes(spark, f"{models}/models/{stored['model_name']}")
+    grid = forecast.future_grid(warehouse(spark, sf_dir), stored["trained_until"], AS_OF)
+    grid.write.parquet(found_at)
+    grid = spark.read.schema(grid.schema).parquet(found_at)
+    by_nodes = forest.predictions(nodes, grid, "hour_start", forecast.FEATURES, forecast.DEPTH)
+    by_model = forecast.raw_predictions(model, grid).withColumnRenamed("prediction", "expected")
+    close = F.abs(F.col("prediction") - F.col("expected")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("expected"))
+    return by_model.join(by_nodes, "hour_start", "left").select(
+        "hour_start", F.coalesce(close, F.lit(False)).alias("same_as_model")
+    )
+
+
 def _forecast_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What can be said of a forecast without knowing its numbers."""
     models, scored_at = scratch_path(spark, "models"), scratch_path(spark, "scored")
@@ -616,6 +652,8 @@ def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dashboards with parameters ----------------------------------------------
 
 REGION, DEPARTEMENT = "1", "02"
+# a département with trains at ``AS_OF``, at any size
+BOARD_PLACE = ("2", "12")
 # upper case and accents that the stored name doesn't have
 COMMUNE = "CÔMMUNÈ-7"
 STATION = "Supplier 000000003"
@@ -662,7 +700,7 @@ def _parameterised() -> dict[str, Query]:
         "station_deltas_one": t(lambda w: dashboard.station_deltas(w, AS_OF, _station(w))),
         "board_of_region": t(lambda w: dashboard.departure_board(w, AS_OF, REGION, every, every)),
         "board_of_departement": t(
-            lambda w: dashboard.departure_board(w, AS_OF, REGION, DEPARTEMENT)
+            lambda w: dashboard.departure_board(w, AS_OF, *BOARD_PLACE)
         ),
         "board_of_commune": t(lambda w: dashboard.departure_board(w, AS_OF, commune=COMMUNE)),
         "board_of_station": t(
@@ -712,6 +750,7 @@ def queries() -> dict[str, Query]:
         "refresh_rolling": _refresh_rolling,
         "refresh_reused_ids": _refresh_reused_ids,
         "upsert_metrics": _upsert_metrics,
+        "line_metrics_incremental": _line_metrics_incremental,
         "latest_wins_stops": t(_latest_stops),
         "latest_wins_merge": _events_latest,
         # KPI views
@@ -769,6 +808,7 @@ def queries() -> dict[str, Query]:
         "forecast_grid": _forecast_grid,
         "train_volume_forecast": _train_volume_forecast,
         "forecast_checks": _forecast_checks,
+        "forecast_by_nodes": _forecast_by_nodes,
         "objects_matching": _objects_matching,
         "daily_objects": _daily_objects,
         # feeds and streams

@@ -123,6 +123,11 @@ F_LINE_METRICS = """
     delay_minutes bigint, avg_delay_minutes double, ref_date_tk int
 """
 
+LINE_TRIP_BITS = """
+    line_tk bigint, ref_date_tk int, part bigint, seen binary, delayed binary, late binary,
+    delay_minutes bigint, nb_delays bigint, nb_stops bigint, source_tk int
+"""
+
 F_DAILY_PUNCTUALITY = """
     nb_late bigint, nb_trips bigint, terminus_minutes bigint, ref_date_tk int
 """
@@ -179,6 +184,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "dwh/f_trips_reach": (F_TRIPS_REACH, ()),
     "dwh/f_journey": (F_JOURNEY, ("ref_date_tk",)),
     "dwh/f_trips_realtime": (F_TRIPS_REALTIME, ()),
+    "dwh/trip_numbers": ("trip_id string, number bigint", ()),
+    "dwh/line_trip_bits": (LINE_TRIP_BITS, ("source_tk",)),
     "dwh/f_line_metrics": (F_LINE_METRICS, ("ref_date_tk",)),
     "dwh/f_daily_punctuality": (F_DAILY_PUNCTUALITY, ("ref_date_tk",)),
     "dwh/f_station_platform_usage": (F_STATION_PLATFORM_USAGE, ("ref_date_tk",)),

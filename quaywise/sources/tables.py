@@ -65,12 +65,15 @@ class Tables:
         """Like :meth:`reload` for rows that were derived from the table."""
         replace_rows(self.spark, self.path(name), rows, lambda copy: self.reload(name, copy))
 
+    def replace_days_from_itself(self, name: str, rows: DataFrame) -> None:
+        """Like :meth:`replace_days` for rows that were derived from the table."""
+        replace_rows(self.spark, self.path(name), rows, lambda copy: self.replace_days(name, copy))
+
     def compact_days(self, name: str, days: list[int] | list[str]) -> None:
         """Rewrite some day partitions, after many small appends, into few files."""
         _, partitions = schemas.TABLES[name]
         self.recover(name)
-        some = self.read(name).where(F.col(partitions[0]).isin(*days))
-        replace_rows(self.spark, self.path(name), some, lambda copy: self.replace_days(name, copy))
+        self.replace_days_from_itself(name, self.read(name).where(F.col(partitions[0]).isin(*days)))
 
     def recover(self, name: str) -> None:
         """Finish a replacement that was cut short."""
