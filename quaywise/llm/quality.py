@@ -3,10 +3,12 @@
 Each text gives a vector of transformed statistics. For every language and
 source the minimum covariance determinant estimate (location and scatter of the
 ``H`` share of its documents that lie closest together) is found by
-concentration steps over all of its documents, started from coordinate-wise
-medians. Documents whose Mahalanobis distance from it is too large are
-rejected. Two plain rules on length and repetition come first; documents that
-fail them take no part in the estimates.
+concentration steps over all of its documents. Several starts per group, the
+coordinate-wise medians and small random subsets, take a few steps side by side
+in the same aggregates; the one whose scatter has the least determinant goes on
+until its determinant stands still. Documents whose Mahalanobis distance from it
+is too large are rejected. Two plain rules on length and repetition come first;
+documents that fail them take no part in the estimates.
 
 Statistics are rounded to whole thousandths and every sum is a sum of whole
 numbers, so an estimate doesn't depend on how rows are dealt out or on tasks
@@ -51,7 +53,10 @@ N = len(STATISTICS)
 SCALE = 1000
 #: Share of a group that an estimate is taken from.
 H = 0.75
-STEPS = 5
+#: Random starts of a group beside its medians, each a subset of one in so many documents.
+STARTS, SUBSET = 3, 24
+#: Steps of all starts, and of the best one at most; it ends where its determinant's logarithm falls by less.
+ROUGH_STEPS, MOST_STEPS, STILL = 2, 10, 1e-4
 #: Groups with fewer documents are estimated together, first by language, then overall.
 MIN_GROUP = 100
 #: Upper share of a chi-squared distribution that counts as an outlier. Very
@@ -201,14 +206,15 @@ CUTOFF = chi2_point(1 - TAIL, N)
 _MEANS = [f"m{k}" for k in range(N)]
 _PAIRS = [(i, j) for i in range(N) for j in range(i, N)]
 _INVERSE = [f"p{i}_{j}" for i, j in _PAIRS]
-PARAMS = "grp string, " + ", ".join(f"{c} double" for c in [*_MEANS, *_INVERSE])
+PARAMS = "grp string, start int, logdet double, " + ", ".join(f"{c} double" for c in [*_MEANS, *_INVERSE])
 
 
-def _params(groups: list[str], means: np.ndarray, scatters: np.ndarray) -> pd.DataFrame:
-    """Means and inverse scatters, with the least deviations added to the scatter."""
+def _params(groups: list[str], starts: list[int], means: np.ndarray, scatters: np.ndarray) -> pd.DataFrame:
+    """Means, inverse scatters and their determinants, with the least deviations added to the scatter."""
     least = np.diag(np.square(list(STATISTICS.values())))
     inverse = np.linalg.inv(scatters + least) if len(groups) else scatters
-    columns = {"grp": groups} | {m: means[:, k] for k, m in enumerate(_MEANS)}
+    logdet = np.linalg.slogdet(scatters + least)[1] if len(groups) else np.empty(0)
+    columns = {"grp": groups, "start": np.array(starts, "i4"), "logdet": logdet} | {m: means[:, k] for k, m in enumerate(_MEANS)}
     columns |= {p: inverse[:, i, j] * (1 if i == j else 2) for p, (i, j) in zip(_INVERSE, _PAIRS, strict=True)}
     return pd.DataFrame(columns)
 
@@ -237,7 +243,7 @@ def start_params(rows: DataFrame) -> DataFrame:
         for x in frames:
             means = x[[f"med{k}" for k in range(N)]].to_numpy("f8") / 100
             deviations = 1.4826 * x[[f"mad{k}" for k in range(N)]].to_numpy("f8") / 100
-            yield _params(list(x["grp"]), means, np.einsum("gi,ij->gij", deviations**2, np.eye(N)))
+            yield _params(list(x["grp"]), [0] * len(x), means, np.einsum("gi,ij->gij", deviations**2, np.eye(N)))
 
     return wide.mapInPandas(run, PARAMS)
 
@@ -256,22 +262,33 @@ def concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
     """One concentration step: estimates from each group's closest share of rows."""
     fields = [f"s{k}" for k in range(N)]
     judged = rows.join(params, "grp").select(
-        "grp", *fields, F.floor(BINS * F.log2(1 + squared_distance())).cast("long").alias("bin")
+        "grp", "start", *fields, F.floor(BINS * F.log2(1 + squared_distance())).cast("long").alias("bin")
     )
-    by_bin = judged.groupBy("grp", "bin").agg(
-        F.count("*").alias("n"),
-        *(F.sum(f).alias(f) for f in fields),
-        *(F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"x{i}_{j}") for i, j in _PAIRS),
-    )
-    group = W.partitionBy("grp")
+    by_bin = judged.groupBy("grp", "start", "bin").agg(*_sums())
+    group = W.partitionBy("grp", "start")
     closest = by_bin.withColumn("before", F.sum("n").over(group.orderBy("bin")) - F.col("n")).withColumn(
         "all", F.sum("n").over(group)
     ).where(F.col("before") < F.col("all") * H)
-    sums = closest.groupBy("grp").agg(
+    sums = closest.groupBy("grp", "start").agg(
         F.sum("n").alias("n"),
         *(F.sum(f).cast("double").alias(f) for f in fields),
         *(F.sum(f"x{i}_{j}").cast("double").alias(f"x{i}_{j}") for i, j in _PAIRS),
     )
+    return _of_sums(sums, CONSISTENCY)
+
+
+def _sums() -> list[Column]:
+    """Number, sums and sums of products of the rows of a group."""
+    return [
+        F.count("*").alias("n"),
+        *(F.sum(f"s{k}").alias(f"s{k}") for k in range(N)),
+        *(F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"x{i}_{j}") for i, j in _PAIRS),
+    ]
+
+
+def _of_sums(sums: DataFrame, factor: float) -> DataFrame:
+    """Estimates from sums by group and start; scatters are made larger by ``factor``."""
+    fields = [f"s{k}" for k in range(N)]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
@@ -281,11 +298,40 @@ def concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
             for i, j in _PAIRS:
                 moment = x[f"x{i}_{j}"].to_numpy("f8") / n[:, 0] - means[:, i] * means[:, j]
                 scatters[:, i, j] = scatters[:, j, i] = moment
-            yield _params(list(x["grp"]), means / SCALE, CONSISTENCY * scatters / SCALE**2)
+            yield _params(list(x["grp"]), list(x["start"]), means / SCALE, factor * scatters / SCALE**2)
 
     return sums.mapInPandas(run, PARAMS)
 
 
+def subset_params(rows: DataFrame) -> DataFrame:
+    """Estimates from small subsets of each group, dealt by a hash of the row; empty ones give none."""
+    of = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("start")), F.lit(SUBSET)).cast("int") + 1
+    some = rows.withColumn("start", of).where(F.col("start") <= STARTS)
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("all")).where(F.col("all") >= MIN_GROUP).select("grp")
+    sums = some.groupBy("grp", "start").agg(*_sums()).join(sizes, "grp", "left_semi")
+    exact = [F.col(c).cast("double").alias(c) for c in sums.columns if c not in ("grp", "start", "n")]
+    return _of_sums(sums.select("grp", "start", "n", *exact), 1.0)
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """The estimate of each group: the best of several starts, stepped until it stands still.
+
+    A group of fewer than ``MIN_GROUP`` rows has none.
+    """
+    params = stored(start_params(rows).unionByName(subset_params(rows)), "estimates")
+    for _ in range(ROUGH_STEPS):
+        params = stored(concentrate(rows, params), "estimates")
+    best = params.groupBy("grp").agg(F.min(F.struct("logdet", "start")).alias("best")).select("grp", "best.start")
+    params = stored(params.join(best, ["grp", "start"]).select(*params.columns), "estimates")
+    for _ in range(MOST_STEPS):
+        before = params.select("grp", F.col("logdet").alias("before"))
+        params = stored(concentrate(rows, params), "estimates")
+        falls = params.join(before, "grp").where(F.col("before") - F.col("logdet") > STILL)
+        if falls.isEmpty():
+            break
+    return params.drop("start", "logdet")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` of every document.
 
@@ -297,10 +343,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     rows = stored(grouped(statistics(docs)), "statistics")
     clean = rows.where(~F.col("base_failed") & F.col("grp").isNotNull())
-    params = stored(start_params(clean), "estimates")
-    for _ in range(STEPS):
-        params = stored(concentrate(clean, params), "estimates")
-    judged = rows.join(params, "grp", "left").withColumn("distance", F.sqrt(squared_distance()))
+    judged = rows.join(estimates(clean), "grp", "left").withColumn("distance", F.sqrt(squared_distance()))
     far = F.coalesce(F.col("distance") ** 2 > CUTOFF, F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & ~far).select(
         "doc_id", "text_hash", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",

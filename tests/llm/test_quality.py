@@ -91,3 +91,34 @@ def test_keep_clean_keeps_columns_and_repeated_rows(spark):
 def test_empty(spark):
     assert quality.judge(documents(spark, [])).collect() == []
     assert quality.keep_clean(documents(spark, [])).collect() == []
+
+
+def clean_rows(spark, given):
+    rows_ = quality.grouped(quality.statistics(documents(spark, given)))
+    return rows_.where("not base_failed")
+
+
+def test_the_best_of_several_starts_goes_on(spark):
+    """A third of a group are outliers that stand close together: the estimate covers the others."""
+    rng = random.Random(8)
+    given = [(i, prose(rng, "en", rng.randint(60, 900)), "en", "src0") for i in range(200)]
+    given += [(1000 + i, prose(rng, "en", 300).upper(), "en", "src0") for i in range(60)]
+    rows_ = clean_rows(spark, given).cache()
+    starts = quality.start_params(rows_).unionByName(quality.subset_params(rows_))
+    assert {r.start for r in starts.collect()} == {0, 1, 2, 3}
+    best = quality.estimates(rows_).collect()
+    assert len(best) == 1
+    upper = list(quality.STATISTICS).index("upper_share")
+    assert best[0][f"m{upper}"] < 0.1
+    again = quality.concentrate(rows_, quality.estimates(rows_).selectExpr("*", "0 start", "0D logdet"))
+    assert np.allclose([again.first()[f"m{k}"] for k in range(quality.N)], [best[0][f"m{k}"] for k in range(quality.N)], atol=1e-2)
+    kept = {r.doc_id for r in quality.judge(documents(spark, given)).where("kept").collect()}
+    assert kept == set(range(200))
+
+
+def test_determinants(spark):
+    rng = np.random.default_rng(1)
+    scatters = np.stack([np.cov(rng.standard_normal((quality.N, 50))) for _ in range(3)])
+    found = quality._params(["a", "b", "c"], [0, 1, 2], np.zeros((3, quality.N)), scatters)
+    least = np.diag(np.square(list(quality.STATISTICS.values())))
+    assert np.allclose(found["logdet"], [np.log(np.linalg.det(s + least)) for s in scatters])
