@@ -37,8 +37,8 @@ ROUNDS, SEED = 12, 5
 DEGREE = 24
 #: Lists an entry may be in, and how much farther than the nearest they may be.
 COPIES, COPY_RATIO = 4, 1.08
-#: Lists a query may read, as a share of all, and how much farther they may be.
-PROBE_SHARE, PROBE_RATIO = 0.5, 1.25
+#: Lists a query may read, as a share of all but at least so many, and how much farther they may be.
+PROBE_SHARE, LEAST_PROBES, PROBE_RATIO = 0.2, 16, 1.25
 #: Entries of a block.
 BLOCK_ROWS = 4096
 
@@ -243,7 +243,7 @@ def search(
     enough = int(np.searchsorted(np.cumsum(np.sort(rows)), needed)) + 1
     probes = listed(
         asked.select("a", "b", "vector").dropDuplicates(["a", "b"]), g,
-        min(lists, max(round(lists * PROBE_SHARE), enough)), probe_ratio, rows, needed,
+        min(lists, max(LEAST_PROBES, round(lists * PROBE_SHARE), enough)), probe_ratio, rows, needed,
     )
     blocks = F.broadcast(blocks.drop("n"))
     held = postings.join(blocks, "list").withColumn("block", F.pmod("b", F.col("blocks")).cast("int"))
