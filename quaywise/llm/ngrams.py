@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from quaywise.llm.common import byte_texts, map_batches, map_shared, remainder, slices, table, write_shared
 from quaywise.session import scratch_path
 
+#: Bytes of training text whose pairs make one shard, about, and the least number of shards.
+SHARD_BYTES, LEAST_SHARDS = 32 << 20, 16
 #: Tokens whose pairs a task counts before it hands them on.
 BLOCK_TOKENS = 2_000_000
 #: Bytes of text that are scored at a time.
@@ -297,7 +299,9 @@ def hot_words(texts: DataFrame, shards: int) -> np.ndarray:
 def learn(texts: DataFrame) -> Model:
     """Count the pairs of all ``texts`` and write the model below the shared folder."""
     spark = texts.sparkSession
-    shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a task holds one shard, so their number follows the texts
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-size // SHARD_BYTES))
     folder = scratch_path(spark, "ngrams")
     hot = hot_words(texts, shards)
     # written, so that shards are merged and their files made once
