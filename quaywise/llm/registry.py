@@ -48,5 +48,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_tokens": chat.ORACLE,
         "op3_line_windows": lines.ORACLE,
+        "op11_repair_agenda": repair.ORACLE,
         "op12_subvector_dictionary": clusters.ORACLE,
     }

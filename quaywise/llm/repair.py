@@ -445,3 +445,82 @@ def op11_repair_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+#: Damage, faults, and the lightest edits row by row: each step keeps the least value of a state.
+ORACLE = r"""
+WITH RECURSIVE powers AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    [n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(place, ''), lambda c: ord(c)::BIGINT)),
+      lambda a, c: xor(t[xor(a, c) % 256 + 1], a >> 8)), 4294967295) % 20 AS kind
+  FROM given, powers),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+rows_ AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial,
+    CASE WHEN body = '' THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'd'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM numbered),
+-- states: 0 begin, 1 after system, 2 after user, 3 after assistant
+inserts(q, r, cost, audit) AS (
+  VALUES (0, 0, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 1, 0, ''), (1, 2, 2, 'I'), (1, 3, 4, 'II'),
+    (2, 2, 0, ''), (2, 3, 2, 'I'), (3, 3, 0, ''), (3, 2, 2, 'I')),
+goes(q, initial, r) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+edits AS (
+  SELECT conv_id, k, q, q AS r, 3 AS cost, 'D' AS audit FROM rows_, (VALUES (0), (1), (2), (3)) s(q)
+  UNION ALL
+  SELECT conv_id, k, q, r, CASE WHEN fault = 't' THEN 1 ELSE 0 END + CASE WHEN same THEN 0 ELSE 2 END,
+    CASE WHEN same THEN 'K' ELSE 'R' END
+  FROM (SELECT *, rows_.initial = goes.initial AS same, goes.initial AS wanted FROM rows_, goes WHERE fault IN ('', 't'))
+  WHERE same OR wanted <> 's'),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS k, r AS q, cost::BIGINT AS cost, audit FROM ids, inserts WHERE inserts.q = 0
+  UNION ALL
+  SELECT conv_id, k, q, best.cost, best.audit FROM (
+    SELECT w.conv_id, w.k + 1 AS k, i.r AS q,
+      min({'cost': w.cost + e.cost + i.cost, 'audit': w.audit || e.audit || i.audit}) AS best
+    FROM walk w JOIN edits e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.k = w.k + 1 AND e.q = w.q
+    JOIN inserts i ON i.q = e.r GROUP BY ALL)),
+figures AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal
+  FROM (SELECT *, lag(initial) OVER w || initial NOT IN ('su', 'ua', 'au') AS bad
+    FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY k)) GROUP BY conv_id),
+best AS (
+  SELECT ids.conv_id, f.* EXCLUDE (conv_id), min({'cost': w.cost, 'audit': w.audit}) AS goal
+  FROM ids LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM ids.conv_id
+  JOIN walk w ON w.conv_id IS NOT DISTINCT FROM ids.conv_id AND w.k = coalesce(n, 0) AND w.q IN (0, 3)
+  GROUP BY ALL),
+edited AS (
+  SELECT conv_id, pos, audit[pos] AS edit, sum(CASE WHEN audit[pos] <> 'I' THEN 1 ELSE 0 END) OVER w AS k,
+    sum(CASE WHEN audit[pos] <> 'D' THEN 1 ELSE 0 END) OVER w AS nth
+  FROM (SELECT conv_id, goal.audit AS audit, unnest(range(1, length(goal.audit) + 1)) AS pos FROM best)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+placed AS (
+  SELECT e.*, role, text,
+    max(CASE WHEN nth = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+  FROM edited e LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.k = e.k AND edit <> 'I'
+  WHERE edit <> 'D'),
+said AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN edit = 'K' THEN role WHEN (nth - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''),
+    chr(10) ORDER BY pos) AS repaired FROM placed GROUP BY conv_id)
+SELECT best.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, goal.cost AS cost, goal.audit AS audit,
+  sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM best LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM best.conv_id
+"""

@@ -3,6 +3,7 @@ import itertools
 import random
 import zlib
 
+import duckdb
 import pytest
 
 from quaywise.llm import repair
@@ -177,6 +178,9 @@ def test_query(spark, tmp_path):
     assert len(found) == len(wanted)
     assert {r[0]: tuple(r[1:]) for r in found} == wanted
     assert any(len(v[6]) == 0 for v in wanted.values())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert {r[0]: r[1:] for r in con.execute(repair.ORACLE).fetchall()} == wanted
 
 
 def test_empty(spark):
