@@ -99,6 +99,13 @@ def _static_departements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _corrections_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name corrections of all stations, from a CSV file as a user supplies it."""
+    path = scratch_path(spark, "corrections")
+    sample.name_corrections(spark, sf_dir).write.option("header", "true").csv(path)
+    return referentials.name_corrections(spark, path)
+
+
 def _d_station(tables: Tables) -> DataFrame:
     return tables["dwh/d_station"].drop("tk_station", "idgaia")
 
@@ -725,6 +732,7 @@ def queries() -> dict[str, Query]:
         "ods_vehicules": t(lambda w: w["ods/vehicules"]),
         "ods_stops": t(lambda w: w["ods/stops"]),
         "static_departements": _static_departements,
+        "corrections_file": _corrections_file,
         "ods_stations": t(lambda w: w["ods/stations"].drop("idgaia")),
         # facts
         "f_trips": t(
