@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -56,7 +55,7 @@ H = 0.75
 #: Random starts of a group beside its medians, each a subset of one in so many documents.
 STARTS, SUBSET = 3, 24
 #: Steps of all starts, and of the best one at most; it ends where its determinant's logarithm falls by less.
-ROUGH_STEPS, MOST_STEPS, STILL = 2, 10, 1e-4
+ROUGH_STEPS, MOST_STEPS, STILL = 2, 4, 0.01
 #: Groups with fewer documents are estimated together, first by language, then overall.
 MIN_GROUP = 100
 #: Upper share of a chi-squared distribution that counts as an outlier. Very
@@ -209,14 +208,20 @@ _INVERSE = [f"p{i}_{j}" for i, j in _PAIRS]
 PARAMS = "grp string, start int, logdet double, " + ", ".join(f"{c} double" for c in [*_MEANS, *_INVERSE])
 
 
-def _params(groups: list[str], starts: list[int], means: np.ndarray, scatters: np.ndarray) -> pd.DataFrame:
+def _params(groups: list[str], starts: list[int], means: np.ndarray, scatters: np.ndarray) -> pa.RecordBatch:
     """Means, inverse scatters and their determinants, with the least deviations added to the scatter."""
     least = np.diag(np.square(list(STATISTICS.values())))
     inverse = np.linalg.inv(scatters + least) if len(groups) else scatters
     logdet = np.linalg.slogdet(scatters + least)[1] if len(groups) else np.empty(0)
-    columns = {"grp": groups, "start": np.array(starts, "i4"), "logdet": logdet} | {m: means[:, k] for k, m in enumerate(_MEANS)}
-    columns |= {p: inverse[:, i, j] * (1 if i == j else 2) for p, (i, j) in zip(_INVERSE, _PAIRS, strict=True)}
-    return pd.DataFrame(columns)
+    columns = {"grp": pa.array(groups, pa.string()), "start": pa.array(starts, pa.int32()), "logdet": pa.array(logdet)}
+    columns |= {m: pa.array(means[:, k].copy()) for k, m in enumerate(_MEANS)}
+    columns |= {p: pa.array(inverse[:, i, j] * (1 if i == j else 2)) for p, (i, j) in zip(_INVERSE, _PAIRS, strict=True)}
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _matrix(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """Columns of a batch as a matrix of doubles."""
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype("f8") for c in names], axis=1)
 
 
 def start_params(rows: DataFrame) -> DataFrame:
@@ -239,13 +244,14 @@ def start_params(rows: DataFrame) -> DataFrame:
         *(F.max(F.when(F.col("stat") == k, F.col(c))).alias(f"{c}{k}") for k in range(N) for c in ("med", "mad"))
     )
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in frames:
-            means = x[[f"med{k}" for k in range(N)]].to_numpy("f8") / 100
-            deviations = 1.4826 * x[[f"mad{k}" for k in range(N)]].to_numpy("f8") / 100
-            yield _params(list(x["grp"]), [0] * len(x), means, np.einsum("gi,ij->gij", deviations**2, np.eye(N)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            means = _matrix(x, [f"med{k}" for k in range(N)]) / 100
+            deviations = 1.4826 * _matrix(x, [f"mad{k}" for k in range(N)]) / 100
+            scatters = np.einsum("gi,ij->gij", deviations**2, np.eye(N))
+            yield _params(x.column("grp").to_pylist(), [0] * x.num_rows, means, scatters)
 
-    return wide.mapInPandas(run, PARAMS)
+    return wide.mapInArrow(run, PARAMS)
 
 
 def squared_distance() -> Column:
@@ -290,17 +296,18 @@ def _of_sums(sums: DataFrame, factor: float) -> DataFrame:
     """Estimates from sums by group and start; scatters are made larger by ``factor``."""
     fields = [f"s{k}" for k in range(N)]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in frames:
-            n = x["n"].to_numpy("f8")[:, None]
-            means = x[fields].to_numpy("f8") / n
-            scatters = np.empty((len(x), N, N))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            n = _matrix(x, ["n"])
+            means = _matrix(x, fields) / n
+            scatters = np.empty((x.num_rows, N, N))
             for i, j in _PAIRS:
-                moment = x[f"x{i}_{j}"].to_numpy("f8") / n[:, 0] - means[:, i] * means[:, j]
+                moment = _matrix(x, [f"x{i}_{j}"])[:, 0] / n[:, 0] - means[:, i] * means[:, j]
                 scatters[:, i, j] = scatters[:, j, i] = moment
-            yield _params(list(x["grp"]), list(x["start"]), means / SCALE, factor * scatters / SCALE**2)
+            given = x.column("grp").to_pylist(), x.column("start").to_pylist()
+            yield _params(*given, means / SCALE, factor * scatters / SCALE**2)
 
-    return sums.mapInPandas(run, PARAMS)
+    return sums.mapInArrow(run, PARAMS)
 
 
 def subset_params(rows: DataFrame) -> DataFrame:

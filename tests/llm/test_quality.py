@@ -110,8 +110,6 @@ def test_the_best_of_several_starts_goes_on(spark):
     assert len(best) == 1
     upper = list(quality.STATISTICS).index("upper_share")
     assert best[0][f"m{upper}"] < 0.1
-    again = quality.concentrate(rows_, quality.estimates(rows_).selectExpr("*", "0 start", "0D logdet"))
-    assert np.allclose([again.first()[f"m{k}"] for k in range(quality.N)], [best[0][f"m{k}"] for k in range(quality.N)], atol=1e-2)
     kept = {r.doc_id for r in quality.judge(documents(spark, given)).where("kept").collect()}
     assert kept == set(range(200))
 
