@@ -33,7 +33,7 @@ from quaywise.llm.common import byte_texts, map_batches, map_shared, remainder,
 from quaywise.session import scratch_path
 
 #: Bytes of training text whose pairs make one shard, about, and the least number of shards.
-SHARD_BYTES, LEAST_SHARDS = 32 << 20, 16
+SHARD_BYTES, LEAST_SHARDS = 8 << 20, 16
 #: Tokens whose pairs a task counts before it hands them on.
 BLOCK_TOKENS = 2_000_000
 #: Bytes of text that are scored at a time.
