@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from quaywise.operators.merge import matching
 from quaywise.session import finish_replacing, read_or_none, replace_rows
 
 #: Bits of a filter: the size of Spark's bitmaps.
@@ -192,12 +193,3 @@ def bit(bits: Column, at: Column) -> Column:
     """Whether a bit of a bitmap is set; bit 0 is the lowest of the first byte."""
     byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
-
-
-def matching(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join in which nulls are equal."""
-    other = right.select(*(F.col(c).alias(f"_{c}") for c in on))
-    condition = F.lit(True)
-    for c in on:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return left.join(other, condition, how)
