@@ -55,7 +55,7 @@ H = 0.75
 #: Random starts of a group beside its medians, each a subset of one in so many documents.
 STARTS, SUBSET = 3, 24
 #: Steps of all starts, and of the best one at most; it ends where its determinant's logarithm falls by less.
-ROUGH_STEPS, MOST_STEPS, STILL = 2, 4, 0.01
+ROUGH_STEPS, MOST_STEPS, STILL = 2, 3, 0.01
 #: Groups with fewer documents are estimated together, first by language, then overall.
 MIN_GROUP = 100
 #: Upper share of a chi-squared distribution that counts as an outlier. Very
