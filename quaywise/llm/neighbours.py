@@ -4,9 +4,14 @@ Centroids are fitted by k-means with a price on crowded clusters, on a bounded
 sample of the vectors. Every vector goes to the list of its nearest centroid
 and, where others are nearly as near, to those lists as well. The nearest
 centroids of a vector are found by a best-first walk over a graph of centroids
-that each task holds in memory. A query reads the lists whose centroids are
-within a fixed ratio of its nearest one's distance. Lists are read in blocks of
-bounded size, so a crowded list is shared by many tasks.
+that each task holds in memory. The
+walk starts at some centroids that lie far apart, so that it ends in the right
+place where vectors are clustered. A query reads the lists whose centroids are
+within a fixed ratio of its nearest one's distance. How many lists that takes
+differs from table to table: a bounded sample of the queries is compared with
+every entry, and where the usual lists would miss too many of their neighbours,
+all queries read as many as find them (:func:`enough_lists`). Lists are read in
+blocks of bounded size, so a crowded list is shared by many tasks.
 
 Equal vectors are one entry of the index, with the smallest ids that a result
 could hold; results are the same as if each were an entry.
@@ -39,6 +44,8 @@ DEGREE = 24
 COPIES, COPY_RATIO = 4, 1.08
 #: Lists a query may read, as a share of all but at least so many, and how much farther they may be.
 PROBE_SHARE, LEAST_PROBES, PROBE_RATIO = 0.2, 16, 1.25
+#: Queries that are compared with every entry, and the share of their neighbours that lists must hold.
+MEASURED, TARGET = 256, 0.95
 #: Entries of a block.
 BLOCK_ROWS = 4096
 
@@ -54,7 +61,9 @@ def fit(vectors: np.ndarray, lists: int, seed: int = SEED) -> np.ndarray:
     """Centroids by k-means, where a cluster costs more the more it holds."""
     rng = np.random.default_rng(seed)
     centroids = vectors[rng.choice(len(vectors), lists, replace=False)].astype("f4")
-    vectors = vectors.astype("f4")
+    # around their middle, so that single precision is enough wherever they lie
+    middle = vectors.mean(axis=0)
+    centroids, vectors = (centroids - middle).astype("f4"), (vectors - middle).astype("f4")
     squares = np.square(vectors).sum(axis=1)
     size = np.full(lists, len(vectors) / lists)
     for _ in range(ROUNDS):
@@ -67,16 +76,31 @@ def fit(vectors: np.ndarray, lists: int, seed: int = SEED) -> np.ndarray:
         np.add.at(sums, near, vectors)
         some = counted > 0
         centroids[some] = (sums[some] / counted[some, None]).astype("f4")
-    return centroids
+    return (centroids + middle).astype("f4")
 
 
 @dataclass
 class Graph:
-    """Centroids with their nearest ones, and one to start from."""
+    """Centroids with their nearest ones, and those to start from."""
 
     centroids: np.ndarray
     near: np.ndarray
-    start: int
+    starts: np.ndarray
+
+
+def far_apart(centroids: np.ndarray) -> np.ndarray:
+    """Some centroids, each the farthest from those before it; the first is nearest to the middle.
+
+    Groups of centroids that lie apart get one each, or, if there are more of
+    them than that, are smaller than a centroid's number of neighbours.
+    """
+    most = min(len(centroids), 4 * int(np.ceil(np.sqrt(len(centroids)))))
+    found = [int(np.square(centroids - centroids.mean(axis=0)).sum(axis=1).argmin())]
+    left = np.square(centroids - centroids[found[0]]).sum(axis=1)
+    while len(found) < most:
+        found.append(int(left.argmax()))
+        left = np.minimum(left, np.square(centroids - centroids[found[-1]]).sum(axis=1))
+    return np.unique(found)
 
 
 def graph(centroids: np.ndarray, degree: int = DEGREE) -> Graph:
@@ -84,13 +108,21 @@ def graph(centroids: np.ndarray, degree: int = DEGREE) -> Graph:
     n = len(centroids)
     degree = min(degree, n)
     near = np.empty((n, degree + 1), "i4")
-    squares = np.square(centroids).sum(axis=1)
+    own = centroids.astype("f8") - centroids.mean(axis=0, dtype="f8")
+    squares = np.square(own).sum(axis=1)
     for at in range(0, n, 1024):
-        d = squares - 2 * centroids[at : at + 1024] @ centroids.T
+        d = squares - 2 * own[at : at + 1024] @ own.T
         near[at : at + 1024, :degree] = np.argpartition(d, degree - 1, axis=1)[:, :degree]
     near[:, degree] = (np.arange(n) + 1) % n
-    middle = np.square(centroids - centroids.mean(axis=0)).sum(axis=1)
-    return Graph(centroids, near, int(middle.argmin()))
+    return Graph(centroids, near, far_apart(centroids))
+
+
+def all_distances(g: Graph, vectors: np.ndarray) -> np.ndarray:
+    """Squared distances from vectors to every centroid."""
+    middle = g.centroids.mean(axis=0, dtype="f8")
+    own, vectors = g.centroids - middle, vectors - middle
+    d = np.square(own).sum(axis=1) - 2 * vectors @ own.T + np.square(vectors).sum(axis=1)[:, None]
+    return np.maximum(d, 0)
 
 
 def walk(g: Graph, vectors: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +136,8 @@ def walk(g: Graph, vectors: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarr
     rows = np.arange(len(vectors))
     found = np.full((len(vectors), n), np.inf, "f4")  # distances known so far
     open_ = np.zeros((len(vectors), n), "?")
-    found[:, g.start] = np.square(vectors - g.centroids[g.start]).sum(axis=1)
+    for start in g.starts:
+        found[:, start] = np.square(vectors - g.centroids[start]).sum(axis=1)
     busy = rows
     while len(busy):
         waiting = np.where(open_[busy], np.inf, found[busy])
@@ -130,8 +163,14 @@ def chosen(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows and lists: the nearest, others up to ``ratio`` times its distance, and
     as many more as it takes until they hold ``needed`` rows; ``rows`` are those of each list."""
-    at, d = walk(g, vectors, keep)
-    near = np.sqrt(d) <= ratio * np.sqrt(d[:, :1])
+    if keep * WALKED >= len(g.centroids):
+        # a walk would open a large share of the graph
+        d = all_distances(g, vectors)
+        at = np.argsort(d, axis=1, kind="stable")[:, :keep]
+        d = np.take_along_axis(d, at, axis=1)
+    else:
+        at, d = walk(g, vectors, keep)
+    near = np.ones(at.shape, "?") if np.isinf(ratio) else np.sqrt(d) <= ratio * np.sqrt(d[:, :1])
     held = rows[at]
     near |= np.cumsum(held, axis=1) - held < needed
     near &= at >= 0
@@ -144,6 +183,8 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(len(column), -1)
 
 
+#: A walk is taken for this part of the centroids at most; more are ranked by their distances.
+WALKED = 8
 #: Vectors that walk side by side.
 STEP = 1024
 
@@ -187,6 +228,51 @@ def closest(queries: np.ndarray, entries: np.ndarray, most: int) -> Iterator[tup
             yield at + i, places, np.sqrt(np.square(entries[places] - q).sum(axis=1))
 
 
+def true_neighbours(entries: DataFrame, queries: pa.Table, most: int) -> DataFrame:
+    """``query`` (its place), ``a`` and ``b`` of the nearest entries, all compared; the query's own is left out."""
+    asked = matrix(queries.column("vector").combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, places, d in closest(asked, matrix(batch.column("vector")), most + 1):
+                places, d = places[d > 0], d[d > 0]
+                rows = pa.array(places)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(places), i, "i4")), batch.column("a").take(rows),
+                     batch.column("b").take(rows), pa.array(d)], names=["query", "a", "b", "d"],
+                )
+
+    found = entries.mapInArrow(run, "query int, a long, b long, d double")
+    order = W.partitionBy("query").orderBy("d", "a", "b")
+    return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).drop("nth", "d")
+
+
+def enough_lists(
+    g: Graph, queries: np.ndarray, held: np.ndarray, keep: int, ratio: float, target: float = TARGET
+) -> tuple[int, float]:
+    """How many lists to read, and how much farther they may be, to find ``target`` of the neighbours.
+
+    ``held`` has a row (query, neighbour, list) for each list that a true
+    neighbour is in. The given number and ratio stay if they are enough; if not,
+    the ratio goes and the number is the least that is.
+    """
+    if not len(held):
+        return keep, ratio
+    d = all_distances(g, queries)
+    rank = d.argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+    query, _, at = held.T
+    near = np.sqrt(d[query, at]) <= ratio * np.sqrt(d.min(axis=1))[query]
+    _, pair = np.unique(held[:, :2], axis=0, return_inverse=True)
+    pair = pair.reshape(-1)
+    found = np.zeros(pair.max() + 1, "?")
+    np.logical_or.at(found, pair, near & (rank[query, at] < keep))
+    if found.mean() >= target:
+        return keep, ratio
+    least = np.full(len(found), len(g.centroids))
+    np.minimum.at(least, pair, rank[query, at])
+    return int(np.sort(least)[int(np.ceil(target * len(least))) - 1]) + 1, np.inf
+
+
 def search(
     vectors: DataFrame, queries: Column, most: int = NEAREST, probe_ratio: float = PROBE_RATIO
 ) -> DataFrame:
@@ -241,10 +327,17 @@ def search(
     # so many rows hold as many different entries as a result can need, or all there are
     needed = COPIES * (most + 1)
     enough = int(np.searchsorted(np.cumsum(np.sort(rows)), needed)) + 1
-    probes = listed(
-        asked.select("a", "b", "vector").dropDuplicates(["a", "b"]), g,
-        min(lists, max(LEAST_PROBES, round(lists * PROBE_SHARE), enough)), probe_ratio, rows, needed,
-    )
+    different = asked.select("a", "b", "vector").dropDuplicates(["a", "b"])
+    keep = min(lists, max(LEAST_PROBES, round(lists * PROBE_SHARE)))
+    measured = different.orderBy("a", "b").limit(MEASURED).toArrow()
+    if measured.num_rows and lists > 1:
+        truth = F.broadcast(true_neighbours(entries, measured, most))
+        # a row for each list that one of the sampled queries' neighbours is in: bounded by the constants
+        where = postings.join(truth, ["a", "b"]).select("query", "a", "list").collect()
+        held_in = np.array([tuple(r) for r in where], "i8").reshape(-1, 3)
+        there = matrix(measured.column("vector").combine_chunks())
+        keep, probe_ratio = enough_lists(g, there, held_in, keep, probe_ratio)
+    probes = listed(different, g, min(lists, max(keep, enough)), probe_ratio, rows, needed)
     blocks = F.broadcast(blocks.drop("n"))
     held = postings.join(blocks, "list").withColumn("block", F.pmod("b", F.col("blocks")).cast("int"))
     read = probes.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

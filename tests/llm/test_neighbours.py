@@ -109,3 +109,29 @@ def test_clusters_are_balanced():
     centroids = neighbours.fit(crowd, 16)
     near = np.square(crowd[:, None] - centroids).sum(axis=2).argmin(axis=1)
     assert np.bincount(near, minlength=16).max() < 0.5 * len(crowd)
+
+
+def test_recall_of_clustered_rows(spark, monkeypatch):
+    """Far clusters, each of several lists whose centroids are about equally far from a query."""
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 40)
+    rng = np.random.default_rng(8)
+    middle = rng.standard_normal((30, 32)) * 20
+    x = (middle[rng.integers(0, 30, 8000)] + rng.standard_normal((8000, 32))).astype("f4")
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = result(neighbours.search(rows, F.col("vec_id") % 100 == 0))
+    hits = 0
+    for q, near in found.items():
+        d = np.square(x.astype("f8") - x[q]).sum(axis=1)
+        d[q] = np.inf
+        hits += len({i for i, _ in near} & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert len(found) == 80 and hits >= 0.9 * 800
+
+
+def test_walk_finds_centroids_of_far_clusters():
+    rng = np.random.default_rng(7)
+    middle = rng.standard_normal((12, 16)) * 100
+    centroids = (np.repeat(middle, 50, axis=0) + rng.standard_normal((600, 16))).astype("f4")
+    vectors = middle[rng.integers(0, 12, 200)] + rng.standard_normal((200, 16))
+    at, _ = neighbours.walk(neighbours.graph(centroids), vectors, 4)
+    best = np.square(vectors[:, None] - centroids).sum(axis=2).argmin(axis=1)
+    assert (at[:, 0] == best).mean() >= 0.95
