@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from quaywise import session
 from quaywise.operators.hours import hour_spine, spread_hours
 from quaywise.operators.merge import latest_wins, pick_one, rows_to_insert
 from quaywise.operators.previous import with_previous
@@ -97,3 +98,30 @@ def test_hours_touched_by_an_event(spark):
     hours = values(found.select("id", F.hour("hour_start")))
     assert sorted(hours) == [("a", h) for h in (9, 10, 11)] + [("b", h) for h in range(8, 13)]
     assert hour_spine(spark, first, last).count() == 5
+
+
+def test_shuffles_have_more_partitions_for_more_rows(spark):
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        session.bound_tasks(spark, 1000)
+        assert spark.conf.get(names[0]) == spark.conf.get("spark.sql.shuffle.partitions")
+        session.bound_tasks(spark, 10 * session.TASK_ROWS + 1)
+        session.bound_tasks(spark, 1000)
+        assert (spark.conf.get(names[0]), spark.conf.get(names[1])) == ("11", f"{session.TASK_BYTES}b")
+        spark.conf.set(names[1], "8m")
+        session.bound_tasks(spark, 1000)
+        assert spark.conf.get(names[1]) == "8m"
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_tables_without_days_are_written_without_a_shuffle(spark, tables):
+    """Tasks that make the rows have the size of files already."""
+    stops = tables["dsa/stops"]
+    plan = tables._shaped("dsa/stops", stops)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" not in plan
+    days = tables._shaped("ods/stops", tables["ods/stops"])
+    assert "RebalancePartitions" in days._jdf.queryExecution().analyzed().toString()
