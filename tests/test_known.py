@@ -128,3 +128,10 @@ def test_ids_that_come_back_add_nothing(spark, folder):
     # the same by comparing with all days
     directly = ods.new_stops(tables["dsa/stops"], tables["ods/trips"], stored, now.date())
     assert directly.count() == 0
+
+
+def test_filters_are_made_by_as_many_tasks_as_there_are_keys_for(spark):
+    """A task sorts the bits of a bounded number of keys, however few files they are in."""
+    made = known.filters(keys(spark, 0, 2000).coalesce(1), KEY.fieldNames(), 256)
+    assert made.rdd.getNumPartitions() == 4
+    assert made.select("shard", "bucket").distinct().count() == made.count()
