@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -118,6 +119,34 @@ def test_shuffles_have_more_partitions_for_more_rows(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_shuffle_files_go_with_the_step_that_made_them(spark, folder):
+    """In a session that was built without the settings of this package."""
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, plain in zip(names, ("false", "snappy"), strict=True):
+        spark.conf.set(name, plain)
+    stored = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum("shuffle_" in str(file) for file in stored.getAllFiles().mkString("\n").split("\n"))
+
+    try:
+        session.bound_tasks(spark, 1000)
+        found = shuffled()
+        rows = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.max("id").alias("id"))
+        rows.write.parquet(folder("rows"))
+        deadline = time.time() + 20
+        while shuffled() > found and time.time() < deadline:
+            time.sleep(0.2)
+        assert shuffled() <= found
+        # a frame that is asked again makes them again
+        assert len(rows.collect()) == len(rows.collect()) == 100
+        assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_tables_without_days_are_written_without_a_shuffle(spark, tables):
     """Tasks that make the rows have the size of files already."""
     stops = tables["dsa/stops"]
