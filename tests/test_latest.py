@@ -75,6 +75,20 @@ def test_the_session_keeps_its_own_provider(spark):
     assert spark.conf.get(latest.PROVIDER) == before
 
 
+def test_state_has_a_part_for_the_rows_of_a_task(spark):
+    shuffles, at_first = latest._SHUFFLES, latest._AT_FIRST
+    before = spark.conf.get(shuffles), spark.conf.get(at_first, None)
+    try:
+        spark.conf.set(at_first, "77")
+        with latest.state_on_disk(spark):
+            assert spark.conf.get(shuffles) == "77"
+            # a write of a key does not read it first
+            assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
+        assert spark.conf.get(shuffles) == before[0]
+    finally:
+        spark.conf.unset(at_first) if before[1] is None else spark.conf.set(at_first, before[1])
+
+
 def test_newest_of_a_table(spark):
     rows = spark.createDataFrame(
         [("a", None, "x"), ("a", "1", "y"), ("a", "1", "z"), ("b", None, None)], "k string, production_date string, v string"
