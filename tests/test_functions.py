@@ -46,6 +46,20 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_keys_and_delays_are_whole_number_arithmetic(spark):
+    """No date, time or decimal is built for each row and field."""
+    late, aimed = times.ntz(datetime(1969, 12, 31, 23, 59, 59)), times.ntz(datetime(1969, 12, 31, 23, 59, 30))
+    assert one(spark, times.time_key(late + F.lit(timedelta(microseconds=999_999)))) == 235959
+    assert one(spark, times.delay_minutes(late + F.lit(timedelta(microseconds=999_999)), aimed)) == 0
+    assert one(spark, times.delay_minutes(aimed, late + F.lit(timedelta(seconds=1)))) == -1
+    rows = spark.createDataFrame([], "a timestamp_ntz, b timestamp_ntz, n int")
+    shown = rows.select(
+        times.time_key(F.col("a")), times.delay_minutes(F.col("a"), F.col("b")),
+        times.shift_minutes(F.col("a"), F.col("n")), times.shift_seconds(F.col("a"), F.col("n")),
+    )._jdf.queryExecution().analyzed().toString()
+    assert not any(word in shown for word in ("hour(", "second(", "extract", "make_dt_interval", "decimal"))
+
+
 def test_text_with_offset_keeps_its_wall_clock(spark):
     read = F.lit("2025-06-01T10:00:00+02:00").try_cast("timestamp_ntz")
     assert one(spark, read) == datetime(2025, 6, 1, 10)
